@@ -16,6 +16,8 @@ DEFAULT_CLUSTERS = 45
 DEFAULT_ETA = 20.0
 DEFAULT_MAX_ROUNDS = 120
 
+FEW_POINTS = 1_000_000
+
 # The layout of the printed report.
 REPORT_HEADER = (
     "Resulting clusters:",
@@ -40,15 +42,32 @@ def weighted_points(vectors: DataFrame) -> DataFrame:
     return vectors.groupBy("lx", "hs").agg(F.count("*").alias("n"))
 
 
-def assign_clusters(vectors: DataFrame, centers: list[Center]) -> DataFrame:
+def stored_points(vectors: DataFrame) -> DataFrame:
+    """``weighted_points`` as a stored table; weighted points given stay as they are."""
+    if "n" in vectors.columns:
+        return vectors
+    return materialize(weighted_points(vectors), "points")
+
+
+def has_few_rows(points: DataFrame) -> bool:
+    """Whether a pass over stored points costs less than compiling an expression for it."""
+    return points.count() <= FEW_POINTS
+
+
+def assign_clusters(
+    vectors: DataFrame, centers: list[Center], compiled: bool = True
+) -> DataFrame:
     """The vectors with the index ``ci`` of their nearest center; nothing is shuffled."""
-    return vectors.withColumn("ci", nearest_center(F.col("lx"), F.col("hs"), centers))
+    nearest = nearest_center(F.col("lx"), F.col("hs"), centers, compiled)
+    return vectors.withColumn("ci", nearest)
 
 
-def cluster_means(points: DataFrame, centers: list[Center]) -> DataFrame:
+def cluster_means(
+    points: DataFrame, centers: list[Center], compiled: bool = True
+) -> DataFrame:
     """Truncated mean ``cx, cy`` of each non-empty cluster of weighted points."""
     return (
-        assign_clusters(points, centers)
+        assign_clusters(points, centers, compiled)
         .groupBy("ci")
         .agg(
             F.sum(F.col("lx").cast("long") * F.col("n")).alias("_sx"),
@@ -64,10 +83,12 @@ def cluster_means(points: DataFrame, centers: list[Center]) -> DataFrame:
     )
 
 
-def move_centers(points: DataFrame, centers: list[Center]) -> list[Center]:
+def move_centers(
+    points: DataFrame, centers: list[Center], compiled: bool = True
+) -> list[Center]:
     """One round; an empty cluster keeps its center. One row per cluster reaches the driver."""
     moved = list(centers)
-    for row in cluster_means(points, centers).collect():
+    for row in cluster_means(points, centers, compiled).collect():
         moved[row["ci"]] = (row["cx"], row["cy"])
     return moved
 
@@ -85,20 +106,19 @@ def fit_centers(
 ) -> Fit:
     """Move the centers until their total movement is below ``eta``.
 
-    The rounds read the stored distinct points, so neither the parsing nor the
-    question-answer shuffle is ever repeated, also not after a lost executor.
+    Takes vectors or ``stored_points``. The rounds read the stored points, so
+    neither the parsing nor the question-answer shuffle is ever repeated, also
+    not after a lost executor.
     """
-    points = materialize(weighted_points(vectors), "points")
+    points = stored_points(vectors)
+    compiled = not has_few_rows(points)
     centers = [(int(x), int(y)) for x, y in start]
-    try:
-        for rounds in range(1, max_rounds + 1):
-            moved = move_centers(points, centers)
-            movement = total_movement(centers, moved)
-            centers = moved
-            if movement < eta:
-                break
-    finally:
-        points.unpersist()
+    rounds, movement = 0, float("inf")
+    while rounds < max_rounds and not movement < eta:
+        moved = move_centers(points, centers, compiled)
+        movement = total_movement(centers, moved)
+        centers = moved
+        rounds += 1
     return Fit(centers, rounds, movement)
 
 
@@ -114,10 +134,11 @@ def cluster_summary(
 ) -> DataFrame:
     """Per non-empty cluster: most common tag, its share in percent, size and median score.
 
-    Clusters come in order of their median, then index. Of equally common tags
-    the first of the vocabulary is taken.
+    Takes vectors or ``stored_points``. Clusters come in order of their median,
+    then index. Of equally common tags the first of the vocabulary is taken.
     """
-    points = assign_clusters(weighted_points(vectors), centers)
+    stored = stored_points(vectors)
+    points = assign_clusters(stored, centers, compiled=not has_few_rows(stored))
     sizes = (
         points.groupBy("ci", "lx")
         .agg(F.sum("n").alias("n"))

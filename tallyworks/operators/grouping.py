@@ -42,7 +42,7 @@ def collect_in_pieces(
         rows.join(hot, same_key, "left")
         .select(*keys, piece.alias("piece"), element.alias("_element"))
         .groupBy(*keys, "piece")
-        .agg(F.array_sort(F.collect_list("_element")).alias(name))
+        .agg(F.sort_array(F.collect_list("_element")).alias(name))
     )
 
 

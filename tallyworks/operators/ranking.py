@@ -28,13 +28,16 @@ def by_rank(counts: DataFrame) -> DataFrame:
 def rank_terms_one_pass(
     documents: DataFrame, terms: list[str] | None = None, text: str = "text"
 ) -> DataFrame:
-    """Rank by one counter per term in a single scan, without any shuffle of rows.
+    """Rank by one counter per term in a single scan; each task sends one row on.
 
     Terms no document mentions are left out.
     """
     terms = unique_terms(terms or DEFAULT_TERMS)
-    counted = documents.agg(
-        *[F.count_if(mentions(F.col(text), t)).alias(f"n{i}") for i, t in enumerate(terms)]
+    counted = documents.select(mentioned_terms(F.col(text), terms).alias("_found")).agg(
+        *[
+            F.count_if(F.array_contains("_found", t)).alias(f"n{i}")
+            for i, t in enumerate(terms)
+        ]
     )
     pairs = F.array(
         *[

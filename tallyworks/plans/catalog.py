@@ -27,7 +27,7 @@ from tallyworks.operators import (
 )
 from tallyworks.operators.grouping import integer_median
 from tallyworks.plans import tables
-from tallyworks.session import new_folder
+from tallyworks.session import materialize, new_folder
 from tallyworks.sinks.wordtable import WordTable
 from tallyworks.sources.dictionary import RenewingDictionary
 from tallyworks.sources.topics import record_tail
@@ -136,37 +136,38 @@ def date_buckets(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def docs_mentioning_term(spark: SparkSession, folder: str) -> DataFrame:
-    return ranking.documents_mentioning(tables.table(spark, folder, "documents"), "the")
+    return ranking.documents_mentioning(tables.documents(spark, folder), "the")
 
 
 @query
 def rank_terms(spark: SparkSession, folder: str) -> DataFrame:
-    return ranking.rank_terms(tables.table(spark, folder, "documents"), tables.TERMS)
+    return ranking.rank_terms(tables.documents(spark, folder), tables.TERMS)
 
 
 @query
 def rank_terms_one_pass(spark: SparkSession, folder: str) -> DataFrame:
-    return ranking.rank_terms_one_pass(tables.table(spark, folder, "documents"), tables.TERMS)
+    return ranking.rank_terms_one_pass(tables.documents(spark, folder), tables.TERMS)
 
 
 @query
 def term_doc_index(spark: SparkSession, folder: str) -> DataFrame:
-    return ranking.term_index(tables.table(spark, folder, "documents"), tables.TERMS)
+    return ranking.term_index(tables.documents(spark, folder), tables.TERMS)
+
+
+def _stored_index(spark: SparkSession, folder: str) -> DataFrame:
+    index = ranking.term_index(tables.documents(spark, folder), tables.TERMS)
+    return materialize(index, "term-index")
 
 
 @query
 def term_postings(spark: SparkSession, folder: str) -> DataFrame:
-    index = ranking.term_index(tables.table(spark, folder, "documents"), tables.TERMS)
-    lists = ranking.postings_by_term(index)
+    lists = ranking.postings_by_term(_stored_index(spark, folder))
     return lists.select("term", "piece", F.array_join("doc_ids", ",").alias("doc_ids"))
 
 
 @query
 def rank_terms_from_index(spark: SparkSession, folder: str) -> DataFrame:
-    path = new_folder(spark, "term-index")
-    index = ranking.term_index(tables.table(spark, folder, "documents"), tables.TERMS)
-    index.write.parquet(path)
-    return ranking.rank_from_index(spark.read.schema(index.schema).parquet(path))
+    return ranking.rank_from_index(_stored_index(spark, folder))
 
 
 # --- time use
@@ -297,8 +298,9 @@ def cluster_summary(spark: SparkSession, folder: str) -> DataFrame:
 def _fitted_summary(spark: SparkSession, folder: str) -> DataFrame:
     vectors = _vectors(spark, folder)
     start = sampling.sample_centers(vectors, 15, tables.VOCABULARY, tables.SPREAD)
-    fit = clustering.fit_centers(vectors, start)
-    return clustering.cluster_summary(vectors, fit.centers, tables.VOCABULARY, tables.SPREAD)
+    points = clustering.stored_points(vectors)
+    fit = clustering.fit_centers(points, start)
+    return clustering.cluster_summary(points, fit.centers, tables.VOCABULARY, tables.SPREAD)
 
 
 @query
@@ -326,7 +328,7 @@ def dictionary_words(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def dictionary_hits(spark: SparkSession, folder: str) -> DataFrame:
     return wordfreq.dictionary_hits(
-        tables.table(spark, folder, "documents"),
+        tables.documents(spark, folder),
         tables.dictionary(spark, folder),
         "doc_id",
         tokens=wordfreq.space_tokens(F.col("text")),
@@ -336,7 +338,7 @@ def dictionary_hits(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def dictionary_counts(spark: SparkSession, folder: str) -> DataFrame:
     return wordfreq.dictionary_counts(
-        tables.table(spark, folder, "documents"),
+        tables.documents(spark, folder),
         tables.dictionary(spark, folder),
         tokens=wordfreq.space_tokens(F.col("text")),
     )
@@ -349,11 +351,11 @@ def word_upsert(spark: SparkSession, folder: str) -> DataFrame:
     store = WordTable(spark, new_folder(spark, "word-table"))
     tokens = wordfreq.space_tokens(F.col("text"))
     day = F.lit(BATCH_DAY).cast("date").alias("date")
-    for batch, name in ((0, "documents"), (1, "conversations"), (1, "conversations")):
-        records = tables.table(spark, folder, name)
-        store.add_batch(
-            wordfreq.dictionary_counts(records, words, day, tokens=tokens), "words", batch
-        )
+    documents = tables.documents(spark, folder)
+    turns = tables.table(spark, folder, "conversations")
+    for batch, records in ((0, documents), (1, turns), (1, turns)):
+        counts = wordfreq.dictionary_counts(records, words, day, tokens=tokens)
+        store.add_batch(counts, "words", batch)
     return _as_text_days(store.counts())
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.operators.counting import lines_of
 from tallyworks.operators.wordfreq import distinct_words, space_tokens
-from tallyworks.sources.files import read_table, stream_table
+from tallyworks.sources.files import read_table, spread, stream_table
 
 # Terms that occur in the documents, and one that does not.
 TERMS = ["the", "and", "of", "der", "und", "la", "de", "que", "est", "que.", "zzz"]
@@ -30,13 +30,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return read_table(spark, folder, name)
 
 
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "documents"))
+
+
 def income(spark: SparkSession, folder: str) -> DataFrame:
     """Company and monthly income: customers and their orders."""
     return table(spark, folder, "orders").select("o_custkey", "o_totalprice")
 
 
 def document_lines(spark: SparkSession, folder: str, *keep: str) -> DataFrame:
-    return lines_of(table(spark, folder, "documents"), "text", *keep)
+    return lines_of(documents(spark, folder), "text", *keep)
 
 
 def article_lines(spark: SparkSession, folder: str) -> DataFrame:

@@ -31,6 +31,15 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with fewer splits than cores, dealt out evenly before costly work per row.
+
+    A large table has splits enough and is returned as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def stream_table(
     spark: SparkSession, folder: str, name: str, files_per_trigger: int | None = None
 ) -> DataFrame:

@@ -46,7 +46,7 @@ def all_user_item_sets(clicks: DataFrame) -> DataFrame:
     Each set is one state row, which suits item catalogues of limited size; for
     others take ``start_user_items``.
     """
-    return clicks.groupBy("user_id").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    return clicks.groupBy("user_id").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
 def windowed_item_sets(
@@ -60,7 +60,7 @@ def windowed_item_sets(
     return (
         clicks.withWatermark("ts", delay)
         .groupBy("user_id", F.window("ts", window, slide).alias("w"))
-        .agg(F.array_sort(F.collect_set(F.struct("ts", "item"))).alias("clicks"))
+        .agg(F.sort_array(F.collect_set(F.struct("ts", "item"))).alias("clicks"))
         .select("user_id", F.col("w.start").alias("window_start"), "clicks")
     )
 
