@@ -1,0 +1,107 @@
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tallyworks.operators import clicks
+
+
+def messages(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "value STRING")
+
+
+def test_parse(spark):
+    row = clicks.parse_clicks(messages(spark, ["1574953308844\t9\t51"])).first()
+    assert (row["ts"], row["user_id"], row["item"]) == (
+        datetime(2019, 11, 28, 15, 1, 48, 844000), "9", 51,
+    )
+
+
+@pytest.mark.parametrize("bad", ["1574953308844\t9", "1574953308844\t9\tx", "then\t9\t1", ""])
+def test_bad_records(spark, bad):
+    df = messages(spark, [bad, "1\t2\t3"])
+    with pytest.raises(PySparkException, match="bad click"):
+        clicks.parse_clicks(df).collect()
+    assert clicks.parse_clicks(df, mode="permissive").count() == 1
+    assert [r["value"] for r in clicks.malformed_clicks(df).collect()] == [bad]
+
+
+def test_encoding_is_the_inverse_of_parsing(spark):
+    values = ["1574953308844\t9\t51", "1574953308999\t10\t0"]
+    encoded = clicks.encode_clicks(clicks.parse_clicks(messages(spark, values)))
+    assert sorted(tuple(r) for r in encoded.collect()) == [("10", values[1]), ("9", values[0])]
+
+
+START = datetime(2024, 1, 1)
+
+
+@pytest.fixture
+def history(spark):
+    rows = [
+        ("a", START + timedelta(seconds=s), item)
+        for s, item in [(0, 1), (10, 2), (10, 2), (40, 1), (3599, 3), (3700, 4)]
+    ] + [("b", START + timedelta(seconds=70), 9)]
+    return spark.createDataFrame(rows, "user_id STRING, ts TIMESTAMP, item INT")
+
+
+def test_item_sets(history):
+    got = {r["user_id"]: r["items"] for r in clicks.user_item_sets(history).collect()}
+    assert got == {"a": [1, 2, 3, 4], "b": [9]}
+
+
+def test_windows_by_brute_force(history):
+    rows = {(r["user_id"], r["ts"], r["item"]) for r in history.collect()}
+    length, slide = timedelta(seconds=60), timedelta(seconds=30)
+    expected = {}
+    for user, ts, item in rows:
+        for step in range(-4, 200):
+            begin = START + step * slide
+            if begin <= ts < begin + length:
+                expected.setdefault((user, begin), set()).add((ts, item))
+    got = {
+        (r["user_id"], r["window_start"]): {tuple(c) for c in r["clicks"]}
+        for r in clicks.user_item_windows(history, "60 seconds", "30 seconds").collect()
+    }
+    assert got == expected
+
+
+def test_default_window_holds_each_click_120_times(history):
+    windows = clicks.user_item_windows(history.where("user_id = 'b'"))
+    assert windows.count() == 120
+
+
+def test_one_window_equals_its_part_of_the_history(history):
+    end = START + timedelta(seconds=3600)
+    at_end = {r["user_id"]: r["clicks"] for r in clicks.user_item_window_at(history, end).collect()}
+    of_all = clicks.user_item_windows(history).where(F.col("window_start") == F.lit(START))
+    assert at_end == {r["user_id"]: r["clicks"] for r in of_all.collect()}
+    assert len(at_end["a"]) == 4
+
+
+def test_newest_window(history, spark):
+    assert clicks.newest_window_end(history) == START + timedelta(seconds=3720)
+    assert clicks.newest_window_end(history.where("user_id = 'b'")) == START + timedelta(seconds=90)
+
+
+def test_window_bounds_reach_the_scan(history, spark, tmp_path, plan_of):
+    history.write.parquet(str(tmp_path / "clicks"))
+    plan = plan_of(clicks.user_item_window_at(spark.read.parquet(str(tmp_path / "clicks")), START))
+    assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
+
+
+def test_hot_user_comes_in_pieces(spark):
+    many = spark.range(5000).select(
+        F.lit("hot").alias("user_id"), F.timestamp_seconds("id").alias("ts"), F.col("id").cast("int").alias("item")
+    )
+    rows = clicks.user_item_sets(many, max_rows=500).collect()
+    assert len(rows) == 10 and max(len(r["items"]) for r in rows) < 1000
+    assert sorted(i for r in rows for i in r["items"]) == list(range(5000))
+
+
+def test_offset_ranges(spark):
+    rows = [("t", 0, 5), ("t", 0, 7), ("t", 1, 2), ("u", 0, 0)]
+    df = spark.createDataFrame(rows, "topic STRING, partition INT, offset LONG")
+    assert sorted(tuple(r) for r in clicks.offset_ranges(df).collect()) == [
+        ("t", 0, 5, 8, 2), ("t", 1, 2, 3, 1), ("u", 0, 0, 1, 1),
+    ]
