@@ -1,0 +1,65 @@
+"""Every registered query against its SQL twin, and what no plan may contain."""
+
+import os
+import pathlib
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+
+SF = "/root/testdata/sf0.001"
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the test tables")
+
+
+@pytest.fixture(scope="module")
+def connection():
+    with duckdb.connect() as db:
+        for path in sorted(pathlib.Path(SF).glob("*.parquet")):
+            db.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}')")
+        yield db
+
+
+def by_name(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+
+    def normal(value):
+        return round(value, 9) if isinstance(value, float) else value
+
+    return sorted((tuple(normal(row[i]) for i in order) for row in rows), key=repr)
+
+
+def test_every_query_has_a_twin():
+    assert contract.queries().keys() == contract.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", list(contract.queries()))
+def test_query_equals_its_twin(spark, connection, plan_of, name):
+    result = contract.queries()[name](spark, SF)
+    cursor = connection.execute(contract.oracle_sql()[name])
+    columns = [d[0] for d in cursor.description]
+    assert sorted(result.columns) == sorted(columns)
+    assert by_name(result.columns, result.collect()) == by_name(columns, cursor.fetchall())
+    plan = plan_of(result)
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow"):
+        assert node not in plan
+
+
+def test_entry(spark):
+    result = contract.entry(spark)
+    assert result.columns == ["working", "sex", "age", "primaryNeeds", "work", "other"]
+    assert result.count() == 12
+
+
+def test_scans_read_only_what_they_need(spark, plan_of):
+    for name, needed in {
+        "time_use_grouped": {"l_linenumber", "l_suppkey", "l_partkey", "l_quantity", "l_extendedprice", "l_tax", "l_discount"},
+        "word_count": {"text"},
+        "docs_mentioning_term": {"text"},
+        "income_by_key": {"o_custkey", "o_totalprice"},
+        "offset_ranges": {"user_id", "event_id"},
+    }.items():
+        plan = plan_of(contract.queries()[name](spark, SF))
+        schema = next(line for line in plan.splitlines() if line.startswith("ReadSchema"))
+        assert set(part.split(":")[0] for part in schema.split("<")[1].split(",")) == needed, name
