@@ -8,40 +8,73 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_ROWS_PER_PIECE = 100_000
+SALTS = 256
 
 
-def collect_in_pieces(
+def piece_of(element: Column, pieces: Column) -> Column:
+    """The piece of its group that ``element`` falls into, by its hash."""
+    return F.pmod(F.xxhash64(element), pieces).cast("int")
+
+
+def place_in_pieces(
     rows: DataFrame,
     keys: list[str],
     element: Column,
-    name: str,
     max_rows: int = MAX_ROWS_PER_PIECE,
+    sizes: DataFrame | None = None,
+    salts: int = SALTS,
 ) -> DataFrame:
-    """Sorted arrays of ``element`` per key, split so that no array grows without bound.
+    """``rows`` with a column ``piece``, so that each key and piece is a group of bounded size.
+
+    Groups of up to ``max_rows`` rows have piece 0 only. Larger ones are spread by
+    a hash of their elements. ``sizes`` (the keys and ``_rows``) may be given where
+    it is cheaper to have; by default the rows are counted with map-side combine.
 
-    A group of up to ``max_rows`` rows gives one array with ``piece`` 0. A larger
-    one is spread by a hash of its elements over as many pieces as it needs, so
-    no task ever holds a whole hot group, and every element is in one piece.
-    The hot groups are found by a count with map-side combine; AQE broadcasts them
-    when they turn out small and splits skewed partitions when they do not.
+    The rows meet the few large groups by key and salt, so a group that holds
+    most of the rows is spread over ``salts`` partitions on this way, whether or
+    not Spark finds the large groups few enough to broadcast.
     """
-    hot = (
-        rows.groupBy(*keys)
-        .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") > max_rows)
-        .select(
-            *[F.col(k).alias(f"_hot_{k}") for k in keys],
-            F.ceil(F.col("_rows") / max_rows).cast("int").alias("_pieces"),
-        )
+    if sizes is None:
+        sizes = rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    hot = sizes.where(F.col("_rows") > max_rows).select(
+        *[F.col(k).alias(f"_hot_{k}") for k in keys],
+        F.ceil(F.col("_rows") / F.lit(max_rows)).cast("int").alias("_pieces"),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_hot_salt"),
     )
     same_key = reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
     )
-    piece = F.coalesce(F.pmod(F.xxhash64(element), F.col("_pieces")).cast("int"), F.lit(0))
     return (
-        rows.join(hot, same_key, "left")
-        .select(*keys, piece.alias("piece"), element.alias("_element"))
-        .groupBy(*keys, "piece")
+        rows.withColumn("_salt", piece_of(element, F.lit(salts)))
+        .join(hot, same_key & (F.col("_salt") == F.col("_hot_salt")), "left")
+        .withColumn("piece", F.coalesce(_mixed_piece(element), F.lit(0)))
+        .drop("_salt", "_hot_salt", "_pieces", *[f"_hot_{k}" for k in keys])
+    )
+
+
+def _mixed_piece(element: Column) -> Column:
+    """The piece by a second hash, so that the pieces are independent of the salt."""
+    return piece_of(F.struct(F.xxhash64(element), element), F.col("_pieces"))
+
+
+def collect_in_pieces(
+    rows: DataFrame,
+    keys: list[str],
+    element: Column,
+    name: str,
+    max_rows: int = MAX_ROWS_PER_PIECE,
+    sizes: DataFrame | None = None,
+) -> DataFrame:
+    """Sorted arrays of ``element`` per key and piece; see ``place_in_pieces``."""
+    placed = place_in_pieces(rows, keys, element, max_rows, sizes)
+    return gather(placed, [*keys, "piece"], element, name)
+
+
+def gather(rows: DataFrame, keys: list[str], element: Column, name: str) -> DataFrame:
+    """Sorted arrays of ``element`` per key, for keys of bounded groups."""
+    return (
+        rows.select(*keys, element.alias("_element"))
+        .groupBy(*keys)
         .agg(F.sort_array(F.collect_list("_element")).alias(name))
     )
 

@@ -38,12 +38,7 @@ def parse_postings(lines: DataFrame, line: str = "value", mode: str = STRICT) ->
     check_mode(mode)
     parsed = lines.select(F.col(line).alias("_line"), *_posting_fields(F.col(line)))
     if mode == STRICT:
-        return parsed.select(
-            *[
-                _strict_field(name).alias(name)
-                for name in POSTING_COLUMNS
-            ]
-        )
+        return parsed.select(*[_strict_field(name).alias(name) for name in POSTING_COLUMNS])
     return parsed.where(~_is_malformed()).select(*POSTING_COLUMNS)
 
 
@@ -112,13 +107,19 @@ def question_answer_pairs(postings: DataFrame) -> DataFrame:
 def answers_by_question(
     postings: DataFrame, max_rows: int = MAX_ROWS_PER_PIECE
 ) -> DataFrame:
-    """Answers grouped per question: ``qid, piece, answers`` with bounded arrays."""
+    """Answers grouped per question: ``qid, piece, answers`` with bounded arrays.
+
+    The sizes come from counts of the answers, as the joined pairs are already
+    partitioned by question and could not be counted without a hot partition.
+    """
+    _, given = _asked_and_given(postings)
     return collect_in_pieces(
         question_answer_pairs(postings),
         ["qid"],
         F.struct("answer_id", "answer_score"),
         "answers",
         max_rows,
+        sizes=given.select("qid", F.col("n_answers").alias("_rows")),
     )
 
 

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyworks.operators.clicks import SLIDE, WINDOW, offset_ranges
-from tallyworks.operators.grouping import MAX_ROWS_PER_PIECE, collect_in_pieces
+from tallyworks.operators.grouping import MAX_ROWS_PER_PIECE, collect_in_pieces, piece_of
 from tallyworks.streaming.runtime import CLICK_INTERVAL, start_batches, start_table
 
 DAY_PARTITION = "yyyyMMdd"
 
+WINDOW_PIECES = 8
+
 
 def new_user_items(clicks: DataFrame) -> DataFrame:
     """Each user-item pair the first time it is seen, with no expiry.
@@ -40,28 +42,44 @@ def read_user_item_sets(
     )
 
 
-def all_user_item_sets(clicks: DataFrame) -> DataFrame:
+def all_user_item_sets(
+    clicks: DataFrame, items_per_piece: int = MAX_ROWS_PER_PIECE
+) -> DataFrame:
     """The sets as one streaming aggregate, for output mode ``complete`` or ``update``.
 
-    Each set is one state row, which suits item catalogues of limited size; for
-    others take ``start_user_items``.
+    Each state row holds the items of one range of item numbers, so its size is
+    bounded; catalogues of up to ``items_per_piece`` items have one range.
     """
-    return clicks.groupBy("user_id").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    piece = F.floor(F.col("item") / items_per_piece).cast("int")
+    return clicks.groupBy("user_id", piece.alias("piece")).agg(
+        F.sort_array(F.collect_set("item")).alias("items")
+    )
 
 
 def windowed_item_sets(
-    clicks: DataFrame, delay: str, window: str = WINDOW, slide: str = SLIDE
+    clicks: DataFrame,
+    delay: str,
+    window: str = WINDOW,
+    slide: str = SLIDE,
+    pieces: int = WINDOW_PIECES,
 ) -> DataFrame:
     """Closed windows per user by event time, for output mode ``append``.
 
-    The state holds each click ``window / slide`` times; with a fine slide take
-    ``start_click_table`` and read the wanted window from it.
+    The clicks of a window are spread over up to ``pieces`` rows, so that a very
+    active user is not one group. The state holds each click ``window / slide``
+    times; with a fine slide take ``start_click_table`` and read the wanted
+    window from it.
     """
+    click = F.struct("ts", "item")
     return (
         clicks.withWatermark("ts", delay)
-        .groupBy("user_id", F.window("ts", window, slide).alias("w"))
-        .agg(F.sort_array(F.collect_set(F.struct("ts", "item"))).alias("clicks"))
-        .select("user_id", F.col("w.start").alias("window_start"), "clicks")
+        .groupBy(
+            "user_id",
+            F.window("ts", window, slide).alias("w"),
+            piece_of(click, F.lit(pieces)).alias("piece"),
+        )
+        .agg(F.sort_array(F.collect_set(click)).alias("clicks"))
+        .select("user_id", F.col("w.start").alias("window_start"), "piece", "clicks")
     )
 
 

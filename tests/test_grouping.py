@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallyworks.operators.grouping import collect_in_pieces, integer_median
+from tallyworks.operators.grouping import collect_in_pieces, integer_median, place_in_pieces
 
 
 def truncated_median(values):
@@ -79,3 +79,23 @@ def test_pieces_are_bounded_and_whole(spark, with_settings, broadcast):
     assert len(small) == 30 and {r["piece"] for r in small} == {0}
     assert all(r["vs"] == sorted(r["vs"]) for r in got)
     assert len([r for r in got if r["k"] is None]) == 12
+
+
+def test_hot_key_is_spread_on_the_way_to_its_pieces(spark, tmp_path, with_settings):
+    path = str(tmp_path / "hot")
+    spark.range(60_000).select(
+        F.when(F.col("id") % 20 == 0, F.col("id") % 7).otherwise(0).alias("k"), F.col("id").alias("v")
+    ).write.parquet(path)
+    with_settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__enabled="false",
+        spark__sql__shuffle__partitions="8",
+    )
+    rows = spark.read.parquet(path)
+    placed = place_in_pieces(rows, ["k"], F.col("v"), max_rows=1000)
+    assert "SortMergeJoin" in placed._jdf.queryExecution().executedPlan().toString()
+    shares = placed.groupBy(F.spark_partition_id()).count().collect()
+    assert len(shares) == 8 and max(r["count"] for r in shares) < 12_000
+    lists = collect_in_pieces(rows, ["k"], F.col("v"), "vs", max_rows=1000).collect()
+    assert sorted(v for r in lists for v in r["vs"]) == list(range(60_000))
+    assert max(len(r["vs"]) for r in lists) < 1500

@@ -94,7 +94,13 @@ def test_answers_are_combined_before_the_shuffle(spark, plan_of):
     assert one_pass.count(": Exchange") <= 1 or one_pass.count("hashpartitioning") == 1
 
 
-def test_skewed_join_is_split(spark, tmp_path, with_settings):
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def stored_hot(spark, tmp_path, with_settings):
+    """Many answers to one question, and no broadcasts."""
     path = str(tmp_path / "hot")
     hot_postings(spark, 60_000).write.parquet(path)
     with_settings(
@@ -104,7 +110,18 @@ def test_skewed_join_is_split(spark, tmp_path, with_settings):
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
         spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
     )
-    pairs = qa.question_answer_pairs(spark.read.parquet(path))
-    out = pairs.collect()
-    assert len(out) == 60_000
-    assert "skew=true" in pairs._jdf.queryExecution().executedPlan().toString()
+    return spark.read.parquet(path)
+
+
+def test_hot_question_is_split_in_the_pair_join(stored_hot):
+    pairs = qa.question_answer_pairs(stored_hot)
+    assert len(pairs.collect()) == 60_000
+    assert "skew=true" in executed(pairs)
+
+
+def test_hot_question_is_split_on_the_way_to_its_pieces(stored_hot):
+    lists = qa.answers_by_question(stored_hot, max_rows=1000)
+    rows = lists.collect()
+    assert len({a["answer_id"] for r in rows for a in r["answers"]}) == 60_000
+    assert max(len(r["answers"]) for r in rows) < 2000
+    assert "skew=true" in executed(lists)
