@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_ROWS_PER_PIECE = 100_000
-SALTS = 256
+MAX_LARGE_GROUPS = 1_000_000
 
 
 def piece_of(element: Column, pieces: Column) -> Column:
@@ -16,47 +14,51 @@ def piece_of(element: Column, pieces: Column) -> Column:
     return F.pmod(F.xxhash64(element), pieces).cast("int")
 
 
+def group_sizes(rows: DataFrame, keys: list[str], amount: str | None = None) -> DataFrame:
+    """``_group, _rows``: the size of each group under a hash of its key.
+
+    ``amount`` names a column of counts where the rows are counted already.
+    """
+    size = F.count("*") if amount is None else F.sum(amount)
+    return rows.groupBy(F.xxhash64(*keys).alias("_group")).agg(size.alias("_rows"))
+
+
 def place_in_pieces(
     rows: DataFrame,
     keys: list[str],
     element: Column,
     max_rows: int = MAX_ROWS_PER_PIECE,
     sizes: DataFrame | None = None,
-    salts: int = SALTS,
 ) -> DataFrame:
     """``rows`` with a column ``piece``, so that each key and piece is a group of bounded size.
 
     Groups of up to ``max_rows`` rows have piece 0 only. Larger ones are spread by
-    a hash of their elements. ``sizes`` (the keys and ``_rows``) may be given where
+    a hash of their elements. ``sizes`` (see ``group_sizes``) may be given where
     it is cheaper to have; by default the rows are counted with map-side combine.
 
-    The rows meet the few large groups by key and salt, so a group that holds
-    most of the rows is spread over ``salts`` partitions on this way, whether or
-    not Spark finds the large groups few enough to broadcast.
+    The rows stay where they are and look their group up in a broadcast table of
+    the large groups. Its size is bounded: above ``MAX_LARGE_GROUPS * max_rows``
+    rows the limit grows with the total, and fewer than ``MAX_LARGE_GROUPS``
+    groups can hold more than that share of all rows each. Groups are named by a
+    64-bit hash, so an entry has 12 bytes; should a small group share the hash of
+    a large one, it comes in more pieces than it needs.
     """
     if sizes is None:
-        sizes = rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    hot = sizes.where(F.col("_rows") > max_rows).select(
-        *[F.col(k).alias(f"_hot_{k}") for k in keys],
+        sizes = group_sizes(rows, keys)
+    share = sizes.agg(F.ceil(F.sum("_rows") / F.lit(MAX_LARGE_GROUPS))).scalar()
+    limit = F.greatest(F.lit(max_rows).cast("long"), share)
+    large = sizes.where(F.col("_rows") > limit).select(
+        F.col("_group").alias("_large"),
         F.ceil(F.col("_rows") / F.lit(max_rows)).cast("int").alias("_pieces"),
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_hot_salt"),
-    )
-    same_key = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
     )
     return (
-        rows.withColumn("_salt", piece_of(element, F.lit(salts)))
-        .join(hot, same_key & (F.col("_salt") == F.col("_hot_salt")), "left")
-        .withColumn("piece", F.coalesce(_mixed_piece(element), F.lit(0)))
-        .drop("_salt", "_hot_salt", "_pieces", *[f"_hot_{k}" for k in keys])
+        rows.withColumn("_group", F.xxhash64(*keys))
+        .join(F.broadcast(large), F.col("_group") == F.col("_large"), "left")
+        .withColumn("piece", F.coalesce(piece_of(element, F.col("_pieces")), F.lit(0)))
+        .drop("_group", "_large", "_pieces")
     )
 
 
-def _mixed_piece(element: Column) -> Column:
-    """The piece by a second hash, so that the pieces are independent of the salt."""
-    return piece_of(F.struct(F.xxhash64(element), element), F.col("_pieces"))
-
-
 def collect_in_pieces(
     rows: DataFrame,
     keys: list[str],
@@ -71,9 +73,15 @@ def collect_in_pieces(
 
 
 def gather(rows: DataFrame, keys: list[str], element: Column, name: str) -> DataFrame:
-    """Sorted arrays of ``element`` per key, for keys of bounded groups."""
+    """Sorted arrays of ``element`` per key, for keys of bounded groups.
+
+    The rows are dealt out by all the keys first. Otherwise Spark would leave
+    rows that are already partitioned by some of the keys as they are, and all
+    pieces of a hot group with them in one task.
+    """
     return (
         rows.select(*keys, element.alias("_element"))
+        .repartition(*keys)
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_list("_element")).alias(name))
     )

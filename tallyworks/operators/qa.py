@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions.text import STRICT, check_mode, required
-from tallyworks.operators.grouping import MAX_ROWS_PER_PIECE, collect_in_pieces
+from tallyworks.operators.grouping import MAX_ROWS_PER_PIECE, collect_in_pieces, group_sizes
 from tallyworks.operators.ranking import DEFAULT_TERMS
 
 # The type codes of the postings.
@@ -112,14 +112,13 @@ def answers_by_question(
     The sizes come from counts of the answers, as the joined pairs are already
     partitioned by question and could not be counted without a hot partition.
     """
-    _, given = _asked_and_given(postings)
     return collect_in_pieces(
         question_answer_pairs(postings),
         ["qid"],
         F.struct("answer_id", "answer_score"),
         "answers",
         max_rows,
-        sizes=given.select("qid", F.col("n_answers").alias("_rows")),
+        sizes=group_sizes(answers(postings), ["parent_id"]),
     )
 
 

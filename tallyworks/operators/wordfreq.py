@@ -33,16 +33,21 @@ def distinct_words(table: DataFrame, word: str = "word") -> DataFrame:
     return table.select(F.col(word).alias("word")).where(F.col("word").isNotNull()).distinct()
 
 
+def words_in_records(records: DataFrame, *keep: str | Column, tokens: Column) -> DataFrame:
+    """One row per record and distinct token, in a column ``word``."""
+    return records.select(*keep, F.explode(F.array_distinct(tokens)).alias("word"))
+
+
 def dictionary_hits(
-    records: DataFrame, dictionary: DataFrame, *keep: str, tokens: Column
+    records: DataFrame, dictionary: DataFrame, *keep: str | Column, tokens: Column
 ) -> DataFrame:
     """One row per record and dictionary word in it, each word at most once per record.
 
     Spark broadcasts the dictionary where its measured size allows and otherwise
     joins by word, splitting frequent words.
     """
-    found = records.select(*keep, F.explode(F.array_distinct(tokens)).alias("word"))
-    return found.join(dictionary, "word", "left_semi").select(*keep, "word")
+    found = words_in_records(records, *keep, tokens=tokens)
+    return found.join(dictionary, "word", "left_semi").select(*found.columns)
 
 
 def dictionary_counts(
@@ -51,9 +56,9 @@ def dictionary_counts(
     """Number of records that mention each dictionary word: ``word, n``, also per ``keys``.
 
     Words are counted before the join, so it sees each word once however
-    frequent it is.
+    frequent it is. Spark moves the join below the count only where it can
+    broadcast the dictionary.
     """
-    found = records.select(*keys, F.explode(F.array_distinct(tokens)).alias("word"))
-    names = [c for c in found.columns if c != "word"]
-    counted = found.groupBy(*names, "word").agg(F.count("*").alias("n"))
-    return counted.join(dictionary, "word", "left_semi").select(*names, "word", "n")
+    found = words_in_records(records, *keys, tokens=tokens)
+    counted = found.groupBy(*found.columns).agg(F.count("*").alias("n"))
+    return counted.join(dictionary, "word", "left_semi").select(*found.columns, "n")

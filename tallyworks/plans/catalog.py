@@ -117,7 +117,7 @@ def encode_events(spark: SparkSession, folder: str) -> DataFrame:
 def decode_segments(spark: SparkSession, folder: str) -> DataFrame:
     replies = tables.segment_replies(spark, folder)
     words = wordfreq.reply_tokens(F.col("reply"))
-    return replies.select("conv_id", "turn", F.explode(words).alias("word"))
+    return wordfreq.words_in_records(replies, "conv_id", "turn", tokens=words)
 
 
 @query

@@ -81,7 +81,7 @@ def test_pieces_are_bounded_and_whole(spark, with_settings, broadcast):
     assert len([r for r in got if r["k"] is None]) == 12
 
 
-def test_hot_key_is_spread_on_the_way_to_its_pieces(spark, tmp_path, with_settings):
+def test_rows_stay_in_place_and_hot_keys_are_spread(spark, tmp_path, with_settings):
     path = str(tmp_path / "hot")
     spark.range(60_000).select(
         F.when(F.col("id") % 20 == 0, F.col("id") % 7).otherwise(0).alias("k"), F.col("id").alias("v")
@@ -93,9 +93,23 @@ def test_hot_key_is_spread_on_the_way_to_its_pieces(spark, tmp_path, with_settin
     )
     rows = spark.read.parquet(path)
     placed = place_in_pieces(rows, ["k"], F.col("v"), max_rows=1000)
-    assert "SortMergeJoin" in placed._jdf.queryExecution().executedPlan().toString()
-    shares = placed.groupBy(F.spark_partition_id()).count().collect()
-    assert len(shares) == 8 and max(r["count"] for r in shares) < 12_000
-    lists = collect_in_pieces(rows, ["k"], F.col("v"), "vs", max_rows=1000).collect()
-    assert sorted(v for r in lists for v in r["vs"]) == list(range(60_000))
-    assert max(len(r["vs"]) for r in lists) < 1500
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    main = plan[: plan.index("BroadcastExchange")]
+    assert "BroadcastHashJoin" in main and "Exchange" not in main
+    lists = collect_in_pieces(rows, ["k"], F.col("v"), "vs", max_rows=1000)
+    shares = lists.select(F.size("vs").alias("n")).groupBy(F.spark_partition_id()).sum("n").collect()
+    assert len(shares) == 8 and max(r[1] for r in shares) < 20_000
+    assert sorted(v for r in lists.collect() for v in r["vs"]) == list(range(60_000))
+    assert max(len(r["vs"]) for r in lists.collect()) < 1500
+
+
+def test_table_of_large_groups_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr("tallyworks.operators.grouping.MAX_LARGE_GROUPS", 10)
+    rows = spark.range(2000).select((F.col("id") % 40).alias("k"), F.col("id").alias("v"))
+    # each of the 40 groups has 50 rows: a tenth of the total is 200, so none is large
+    lists = collect_in_pieces(rows, ["k"], F.col("v"), "vs", max_rows=20).collect()
+    assert {r["piece"] for r in lists} == {0} and len(lists) == 40
+    hot = rows.withColumn("k", F.when(F.col("v") < 1500, 0).otherwise(F.col("k")))
+    lists = collect_in_pieces(hot, ["k"], F.col("v"), "vs", max_rows=20).collect()
+    assert len([r for r in lists if r["k"] == 0]) > 50
+    assert sorted(v for r in lists for v in r["vs"]) == list(range(2000))
