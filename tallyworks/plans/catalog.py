@@ -347,15 +347,16 @@ def dictionary_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def word_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Documents and conversation turns as two batches; the second one is replayed."""
-    words = tables.dictionary(spark, folder)
+    dictionary = RenewingDictionary(lambda: tables.dictionary(spark, folder))
     store = WordTable(spark, new_folder(spark, "word-table"))
     tokens = wordfreq.space_tokens(F.col("text"))
     day = F.lit(BATCH_DAY).cast("date").alias("date")
     documents = tables.documents(spark, folder)
     turns = tables.table(spark, folder, "conversations")
     for batch, records in ((0, documents), (1, turns), (1, turns)):
-        counts = wordfreq.dictionary_counts(records, words, day, tokens=tokens)
+        counts = wordfreq.dictionary_counts(records, dictionary.current(), day, tokens=tokens)
         store.add_batch(counts, "words", batch)
+    dictionary.close()
     return _as_text_days(store.counts())
 
 
@@ -459,18 +460,19 @@ def stream_offset_ranges(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def stream_word_frequency(spark: SparkSession, folder: str) -> DataFrame:
     """Event types as words, counted per day of the event."""
-    checkpoint = new_folder(spark, "checkpoint")
-    store = WordTable(spark, new_folder(spark, "word-table"))
     types = tables.table(spark, folder, "events").select(F.col("event_type").alias("word"))
+    dictionary = RenewingDictionary(lambda: wordfreq.distinct_words(types))
+    store = WordTable(spark, new_folder(spark, "word-table"))
     finish(
         start_word_frequency(
             tables.record_stream(spark, folder),
-            RenewingDictionary(lambda: wordfreq.distinct_words(types)),
+            dictionary,
             store,
             "event-types",
-            checkpoint,
+            new_folder(spark, "checkpoint"),
             date=F.to_date("timestamp"),
             every=None,
         )
     )
+    dictionary.close()
     return _as_text_days(store.counts())

@@ -64,6 +64,12 @@ class RenewingDictionary:
             self._renew(now)
         return self._words
 
+    def close(self) -> None:
+        """Give the rows' storage back."""
+        if self._words is not None:
+            self._words.unpersist()
+            self._words = None
+
     def _renew(self, now: float) -> None:
         try:
             fresh = self._load().persist(StorageLevel.MEMORY_AND_DISK)
