@@ -43,11 +43,14 @@ def dictionary_hits(
 ) -> DataFrame:
     """One row per record and dictionary word in it, each word at most once per record.
 
-    Spark broadcasts the dictionary where its measured size allows and otherwise
-    joins by word, splitting frequent words.
+    Spark broadcasts the dictionary where its size allows. Otherwise it joins by
+    word and splits frequent words, which AQE does only if both sides come
+    straight from a shuffle: the hint keeps the words' own grouping from being
+    taken for the join's.
     """
     found = words_in_records(records, *keep, tokens=tokens)
-    return found.join(dictionary, "word", "left_semi").select(*found.columns)
+    words = dictionary.hint("rebalance")
+    return found.join(words, "word", "left_semi").select(*found.columns)
 
 
 def dictionary_counts(

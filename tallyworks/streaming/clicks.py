@@ -10,7 +10,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyworks.operators.clicks import SLIDE, WINDOW, offset_ranges
 from tallyworks.operators.grouping import MAX_ROWS_PER_PIECE, collect_in_pieces, piece_of
-from tallyworks.streaming.runtime import CLICK_INTERVAL, start_batches, start_table
+from tallyworks.streaming.runtime import (
+    CLICK_INTERVAL,
+    keep_state_on_disk,
+    start_batches,
+    start_table,
+)
 
 DAY_PARTITION = "yyyyMMdd"
 
@@ -30,6 +35,7 @@ def start_user_items(
     clicks: DataFrame, path: str, checkpoint: str, every: str | None = CLICK_INTERVAL
 ) -> StreamingQuery:
     """Keep a table of all user-item pairs; read the sets with ``read_user_item_sets``."""
+    keep_state_on_disk(clicks.sparkSession)
     return start_table(new_user_items(clicks), path, checkpoint, every)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 # The batch intervals of the click and word-frequency jobs.
@@ -12,6 +12,18 @@ CLICK_INTERVAL = "10 seconds"
 WORD_INTERVAL = "3 seconds"
 
 
+STATE_STORE_SETTING = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """Let queries started from now on keep their state in RocksDB rather than in memory.
+
+    A query with a checkpoint goes on with the store it began with.
+    """
+    spark.conf.set(STATE_STORE_SETTING, ROCKSDB_STORE)
+
+
 def with_trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
     """Run every so often; without an interval, take all available input and stop."""
     if every is None:

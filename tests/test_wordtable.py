@@ -114,6 +114,29 @@ def test_words_are_counted_before_the_join(records, words, plan_of):
     assert plan.index("Join") < plan.index("HashAggregate")
 
 
+def test_frequent_word_is_split_in_the_join(spark, tmp_path, with_settings):
+    path = str(tmp_path / "records")
+    spark.range(60_000).select(
+        "id", F.concat(F.lit("the w"), (F.col("id") % 5000).cast("string")).alias("text")
+    ).write.parquet(path)
+    spark.range(5000).select(
+        F.when(F.col("id") == 0, "the").otherwise(F.concat(F.lit("w"), F.col("id").cast("string"))).alias("word")
+    ).write.parquet(str(tmp_path / "words"))
+    with_settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="10KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.1",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
+    )
+    words = wordfreq.distinct_words(spark.read.parquet(str(tmp_path / "words")))
+    hits = wordfreq.dictionary_hits(
+        spark.read.parquet(path), words, "id", tokens=wordfreq.space_tokens(F.col("text"))
+    )
+    assert len(hits.collect()) == 60_000 + 60_000 - 12
+    assert "skew=true" in hits._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize(
     "reply, expected",
     [
