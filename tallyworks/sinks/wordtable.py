@@ -76,7 +76,7 @@ class WordTable:
         upto = marks.withColumnRenamed("last_batch", "_upto")
         (
             self._open_deltas(month)
-            .join(upto, "query")
+            .join(F.broadcast(upto), "query")
             .where(F.col("batch") <= F.col("_upto"))
             .select("word", "date", "n")
             .unionByName(self._current_bases(month).select("word", "date", "n"))
@@ -90,6 +90,37 @@ class WordTable:
         )
         return version
 
+    def compact_all(self) -> None:
+        """Compact every month, then remove the deltas that no reader needs any more."""
+        for month in self.months():
+            self.compact(month)
+        self.remove_folded()
+
+    def remove_folded(self) -> int:
+        """Delete the deltas before the first open one of each query; returns how many.
+
+        To be called while nobody reads the table: a read under way may still
+        want the files.
+        """
+        first_open = {
+            row["query"]: row["first"]
+            for row in self._open_deltas(None)
+            .groupBy("query")
+            .agg(F.min("batch").alias("first"))
+            .collect()
+        }
+        context = self._spark.sparkContext
+        path_of = context._jvm.org.apache.hadoop.fs.Path
+        removed = 0
+        for query, first in first_open.items():
+            folder = path_of(f"{self._root}/deltas/query={query}")
+            files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+            for status in files.listStatus(folder):
+                batch = status.getPath().getName().removeprefix("batch=")
+                if batch.isdigit() and int(batch) < first:
+                    removed += files.delete(status.getPath(), True)
+        return removed
+
     def _read(self, part: str, schema: str, month: str | None) -> DataFrame:
         try:
             table = (
@@ -110,7 +141,10 @@ class WordTable:
         return self._read("marks", _MARK_SCHEMA, month)
 
     def _last_folded(self, month: str | None) -> DataFrame:
-        """The marks of each month's newest version: a row per query and month."""
+        """The marks of each month's newest version: a row per query and month.
+
+        So few rows are broadcast; a shuffle by query would bring all deltas into one task.
+        """
         newest = Window.partitionBy("month").orderBy(F.desc("version"))
         return (
             self._marks(month)
@@ -123,12 +157,12 @@ class WordTable:
         folded = self._last_folded(month).select("query", "month", "last_batch")
         return (
             self._deltas(month)
-            .join(folded, ["query", "month"], "left")
+            .join(F.broadcast(folded), ["query", "month"], "left")
             .where(F.col("last_batch").isNull() | (F.col("batch") > F.col("last_batch")))
         )
 
     def _current_bases(self, month: str | None) -> DataFrame:
         current = self._last_folded(month).select("month", "version").distinct()
         return self._read("bases", _BASE_SCHEMA, month).join(
-            current, ["month", "version"], "left_semi"
+            F.broadcast(current), ["month", "version"], "left_semi"
         )

@@ -68,6 +68,28 @@ def test_compaction_changes_nothing_for_readers(spark, table):
     assert state(table)["a", DAY] == before["a", DAY] - 1 + 100
 
 
+def test_folded_deltas_are_removed(spark, table, tmp_path):
+    for number in range(5):
+        table.add_batch(batch(spark, ("a", DAY, 1), ("b", NEXT, 1)), "q", number)
+    table.add_batch(batch(spark, ("a", DAY, 1)), "p", 0)
+    before = state(table)
+    assert table.remove_folded() == 0
+    table.compact("202401")
+    assert table.remove_folded() == 0, "February is still open"
+    table.compact_all()
+    assert state(table) == before
+    left = sorted(p.name for p in (tmp_path / "words/deltas/query=q").iterdir())
+    assert left == ["batch=4"]
+    table.add_batch(batch(spark, ("a", DAY, 1), ("b", NEXT, 1)), "q", 4)
+    assert state(table) == before
+
+
+def test_deltas_are_not_shuffled_by_query(spark, table, plan_of):
+    table.add_batch(batch(spark, ("a", DAY, 1)), "q", 0)
+    plan = table.counts()._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning(query" not in plan
+
+
 def test_unfinished_compaction_is_not_seen(spark, table, tmp_path):
     table.add_batch(batch(spark, ("a", DAY, 1)), "q", 0)
     table.add_batch(batch(spark, ("a", DAY, 1)), "q", 1)
