@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import kdshards, urlrules
+from tallyworks.llm import kdshards, packing, repetition, urlrules
 
 # Fixed rules of the url query: host, path, verdict.
 URL_RULES = [
@@ -16,12 +16,28 @@ URL_RULES = [
     ("org", "/fr/", "allow"),
 ]
 SHARDS = 40
+TOKENIZER = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Where the public tokenizer files of this environment lie, on the driver and on executors alike."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_repetition_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return repetition.repetition_rules(table(spark, folder, "documents")).drop("spans")
+
+
+def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), tokenizer_path())
+
+
 def op9_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     values = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
     rules = spark.sql(f"SELECT * FROM VALUES {values} AS t(host, path, verdict)")
@@ -33,7 +49,7 @@ def op10_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op9_url_rules, op10_kd_shards]
+    named = [op3_repetition_rules, op5_best_fit_packing, op9_url_rules, op10_kd_shards]
     return {f.__name__: f for f in named}
 
 
