@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import kdshards, packing, repetition, urlrules
+from tallyworks.llm import kdshards, nearduplicates, packing, repetition, urlrules
 
 # Fixed rules of the url query: host, path, verdict.
 URL_RULES = [
@@ -38,6 +38,10 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer_path())
 
 
+def op7_circulant_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return nearduplicates.near_duplicates(table(spark, folder, "documents"), width=2)
+
+
 def op9_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     values = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
     rules = spark.sql(f"SELECT * FROM VALUES {values} AS t(host, path, verdict)")
@@ -49,7 +53,7 @@ def op10_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op3_repetition_rules, op5_best_fit_packing, op9_url_rules, op10_kd_shards]
+    named = [op3_repetition_rules, op5_best_fit_packing, op7_circulant_minhash, op9_url_rules, op10_kd_shards]
     return {f.__name__: f for f in named}
 
 
