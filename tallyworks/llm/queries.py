@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import kdshards, nearduplicates, packing, repetition, urlrules
+from tallyworks.llm import kdshards, nearduplicates, packing, qualitymodel, repetition, urlrules
 
 # Fixed rules of the url query: host, path, verdict.
 URL_RULES = [
@@ -38,6 +38,11 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer_path())
 
 
+def op6_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return qualitymodel.score_documents(docs, qualitymodel.fit(docs, table(spark, folder, "labels")))
+
+
 def op7_circulant_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return nearduplicates.near_duplicates(table(spark, folder, "documents"), width=2)
 
@@ -53,7 +58,7 @@ def op10_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op3_repetition_rules, op5_best_fit_packing, op7_circulant_minhash, op9_url_rules, op10_kd_shards]
+    named = [op3_repetition_rules, op5_best_fit_packing, op6_quality_model, op7_circulant_minhash, op9_url_rules, op10_kd_shards]
     return {f.__name__: f for f in named}
 
 
