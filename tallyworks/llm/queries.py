@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import kdshards, nearduplicates, packing, qualitymodel, repetition, urlrules
+from tallyworks.llm import kdshards, nearduplicates, packing, qualitymodel, repetition, secretscan, urlrules
 
 # Fixed rules of the url query: host, path, verdict.
 URL_RULES = [
@@ -34,6 +34,10 @@ def op3_repetition_rules(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.repetition_rules(table(spark, folder, "documents")).drop("spans")
 
 
+def op4_randomness_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secretscan.scan_secrets(table(spark, folder, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer_path())
 
@@ -58,7 +62,7 @@ def op10_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op3_repetition_rules, op5_best_fit_packing, op6_quality_model, op7_circulant_minhash, op9_url_rules, op10_kd_shards]
+    named = [op3_repetition_rules, op4_randomness_scan, op5_best_fit_packing, op6_quality_model, op7_circulant_minhash, op9_url_rules, op10_kd_shards]
     return {f.__name__: f for f in named}
 
 
