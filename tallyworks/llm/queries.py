@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import kdshards, nearduplicates, packing, projectedsearch, qualitymodel, repetition, secretscan, urlrules
+from tallyworks.llm import kdshards, maintext, nearduplicates, packing, projectedsearch, qualitymodel, repetition, secretscan, urlrules
 
 # Fixed rules of the url query: host, path, verdict.
 URL_RULES = [
@@ -31,6 +31,10 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return maintext.extract_main_text(table(spark, folder, "pages"))
+
+
 def op2_projected_search(spark: SparkSession, folder: str) -> DataFrame:
     return projectedsearch.nearest_neighbours(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -67,7 +71,7 @@ def op10_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op2_projected_search, op3_repetition_rules, op4_randomness_scan, op5_best_fit_packing, op6_quality_model, op7_circulant_minhash, op9_url_rules, op10_kd_shards]
+    named = [op1_main_text, op2_projected_search, op3_repetition_rules, op4_randomness_scan, op5_best_fit_packing, op6_quality_model, op7_circulant_minhash, op9_url_rules, op10_kd_shards]
     return {f.__name__: f for f in named}
 
 
