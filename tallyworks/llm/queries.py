@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import kdshards, maintext, nearduplicates, packing, projectedsearch, qualitymodel, repetition, secretscan, urlrules
+from tallyworks.llm import kdshards, maintext, nearduplicates, packing, projectedsearch, qualitymodel, repetition, secretscan, suffixpieces, urlrules
 
 # Fixed rules of the url query: host, path, verdict.
 URL_RULES = [
@@ -17,7 +17,7 @@ URL_RULES = [
     ("org", "/fr/", "allow"),
 ]
 SHARDS = 40
-TOKENIZER = "word_bpe_49k.json"
+TOKENIZER, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -60,6 +60,10 @@ def op7_circulant_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return nearduplicates.near_duplicates(table(spark, folder, "documents"), width=2)
 
 
+def op8_suffix_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixpieces.encode_documents(table(spark, folder, "documents"), tokenizer_path(PIECES), with_ids=False)
+
+
 def op9_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     values = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
     rules = spark.sql(f"SELECT * FROM VALUES {values} AS t(host, path, verdict)")
@@ -71,7 +75,18 @@ def op10_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_main_text, op2_projected_search, op3_repetition_rules, op4_randomness_scan, op5_best_fit_packing, op6_quality_model, op7_circulant_minhash, op9_url_rules, op10_kd_shards]
+    named = [
+        op1_main_text,
+        op2_projected_search,
+        op3_repetition_rules,
+        op4_randomness_scan,
+        op5_best_fit_packing,
+        op6_quality_model,
+        op7_circulant_minhash,
+        op8_suffix_pieces,
+        op9_url_rules,
+        op10_kd_shards,
+    ]
     return {f.__name__: f for f in named}
 
 

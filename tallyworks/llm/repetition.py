@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +27,12 @@ MOST_LONGEST = 0.25
 LONGEST_FROM = 100
 
 
-def window_ranks(ids: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+def window_ranks(ids: np.ndarray, deep: int | None = None) -> tuple[np.ndarray, list[np.ndarray]]:
     """The suffix array of ``ids`` and, by level, the rank of the 2^level ids from each place.
 
     Equal ranks of a level mean equal windows. Prefix doubling sorts only those places
-    whose window is not unique yet. ``ids`` are numbers from 0, all in use.
+    whose window is not unique yet. ``ids`` are numbers from 0, all in use. With
+    ``deep`` suffixes are only sorted by so many ids, at least.
     """
     n = len(ids)
     counts = np.bincount(ids)
@@ -38,10 +40,10 @@ def window_ranks(ids: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     rank = np.append(starts[ids], -1)
     open_places = np.flatnonzero(counts[ids] > 1)
     levels, h = [rank.astype(np.int32)], 1
-    while len(open_places):
+    while len(open_places) and (deep is None or h < deep):
         after = np.minimum(open_places + h, n)
         key = rank[open_places] * (n + 1) + rank[after] + 1
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         key, places = key[order], open_places[order]
         old = rank[places]
         index = np.arange(len(places))
@@ -53,9 +55,7 @@ def window_ranks(ids: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         open_places = np.sort(places[~alone])
         levels.append(rank.astype(np.int32))
         h *= 2
-    suffixes = np.empty(n, np.int64)
-    suffixes[rank[:n]] = np.arange(n)
-    return suffixes, levels
+    return np.argsort(rank[:n]), levels
 
 
 def longest_repeats(ids: np.ndarray) -> np.ndarray:
@@ -132,28 +132,43 @@ def _labels(texts: list[bytes], least: int) -> dict[str, list]:
     return out
 
 
-def repetition_rules(
-    docs: DataFrame,
-    least_repeat: int = LEAST_REPEAT,
-    most_covered: float = MOST_COVERED,
-    most_longest: float = MOST_LONGEST,
-    longest_from: int = LONGEST_FROM,
-) -> DataFrame:
+@dataclass(frozen=True)
+class Limits:
+    """A document is rejected if substrings of ``least_repeat`` words or more that occur at least twice cover more than
+    ``most_covered`` of it, or if its longest repeat has ``longest_from`` words or more and more than ``most_longest`` of them."""
+
+    least_repeat: int = LEAST_REPEAT
+    most_covered: float = MOST_COVERED
+    most_longest: float = MOST_LONGEST
+    longest_from: int = LONGEST_FROM
+
+
+def judged(texts: list[bytes], limits: Limits) -> dict[str, pa.Array]:
+    """The columns that ``repetition_rules`` adds, for a block of texts."""
+    found = _labels(texts, limits.least_repeat)
+    spans = found.pop("spans")
+    a = {k: np.array(v, np.int64) for k, v in found.items()}
+    failed = (a["n_words"] < LEAST_WORDS) | (100 * a["n_repeat_words"] > MOST_REPEATED_PERCENT * a["n_words"])
+    much = a["covered_words"] > limits.most_covered * a["n_words"]
+    long = (a["longest_repeat"] >= limits.longest_from) & (a["longest_repeat"] > limits.most_longest * a["n_words"])
+    columns = {k: pa.array(v) for k, v in a.items()}
+    columns["spans"] = pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
+    return columns | {"base_failed": pa.array(failed), "kept": pa.array(~(failed | much | long))}
+
+
+def repetition_rules(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """One row for each row of ``docs(doc_id, text)`` with its counts and the verdict ``kept``.
 
     Base counts: ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words``
     (words in 3-word windows that occur twice or more). ``base_failed``: fewer
     than 50 words, or more than half of them in such windows.
 
-    The rule of this operator: substrings of ``least_repeat`` words or more that occur at
-    least twice cover ``covered_words`` words, in the word ranges ``spans``; the
-    longest repeat has ``longest_repeat`` words. A document is rejected if
-    they cover more than ``most_covered`` of it, or if the longest repeat has at least
-    ``longest_from`` words and more than ``most_longest`` of the document's.
+    The rule of this operator: repeated substrings cover ``covered_words`` words, in the word ranges ``spans``, the longest
+    has ``longest_repeat`` words, and both must keep to ``limits``.
 
     Null and empty texts have no words and fail the base. Repeated rows and null
-    ids stay; other columns are not read; an empty table gives an empty result. No shuffle: each text is judged where it
-    is read, whole, in blocks of bounded size.
+    ids stay; other columns are not read; an empty table gives an empty result. No
+    shuffle: each text is judged where it is read, whole, in blocks of bounded size.
     """
     schema = (
         "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -161,16 +176,19 @@ def repetition_rules(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
             for part in slices(batch):
-                found = _labels(encoded(part), least_repeat)
-                a = {k: np.array(v, np.int64) for k, v in found.items() if k != "spans"}
-                failed = (a["n_words"] < LEAST_WORDS) | (100 * a["n_repeat_words"] > MOST_REPEATED_PERCENT * a["n_words"])
-                much = a["covered_words"] > most_covered * a["n_words"]
-                long = (a["longest_repeat"] >= longest_from) & (a["longest_repeat"] > most_longest * a["n_words"])
-                columns = {"doc_id": part.column("doc_id")} | {k: pa.array(v) for k, v in a.items()}
-                columns |= {"spans": pa.array(found["spans"], span), "base_failed": pa.array(failed), "kept": pa.array(~(failed | much | long))}
-                yield pa.RecordBatch.from_pydict(columns)
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id")} | judged(encoded(part), limits))
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+
+
+def passing(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """Those rows of ``docs`` that ``repetition_rules`` keeps, with all their columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                yield part.filter(judged(encoded(part), limits)["kept"])
+
+    return docs.mapInArrow(run, docs.schema)
