@@ -5,11 +5,11 @@ second, shifted around by one place for each coordinate, ranks them. Documents
 that share a band of coordinates are candidates; their shingle sets decide.
 
 No step holds a bucket in one task. Documents of equal sets are one class from
-the start. In a bucket, members are compared with a few leaders; what these links
-join is joined; then only members of different components are compared with
-more leaders, four times as many in each round, until no bucket has two members of different
-components that were not compared. So no candidate pair is given up, and those within
-a component are never listed.
+the start. In a bucket, members are compared with the first and the one before
+them, and what these links join is joined. Buckets that still hold several components are
+compared in blocks: their members are dealt into blocks of bounded size, and a task gets
+two blocks with a common bucket, compares the sets of different components, and gives
+no more links than join them. So no link is given up, and pairs are never listed.
 """
 
 from __future__ import annotations
@@ -31,8 +31,12 @@ SIMILAR_PERCENT = 80
 # A pair of similarity 0.8 misses all bands once in two million times.
 BANDS, ROWS = 48, 6
 
-# Leaders of a bucket in the first full round, and their growth from round to round.
-FIRST_LEADERS, MORE_LEADERS = 4, 4
+# In buckets of so many members the first pairs, with the first and with the one before, are all pairs.
+ALL_COMPARED = 3
+
+# Sets of a block, and shingles in them; a task compares two blocks.
+BLOCK_SETS, BLOCK_SHINGLES = 256, 1 << 18
+_SHINGLES_AT_ONCE = 4096
 
 _PLACE = np.uint64(0x9E3779B97F4A7C15)
 _A, _B, _SHIFT = np.uint32(0x7FEB352D), np.uint32(0x846CA68B), np.uint32(15)
@@ -100,16 +104,18 @@ def signatures(docs: DataFrame, width: int, bands: int = BANDS, rows: int = ROWS
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, shingles``: the sorted 64-bit hashes of each row's set, as bytes."""
+    """``doc_id, shingles``: the sorted 64-bit hashes of each row's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             for part in slices(batch):
-                sets = [_lowered_shingles(t, width, hashes).tobytes() for t in encoded(part)]
-                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "shingles": pa.array(sets, pa.binary())})
+                sets = [_lowered_shingles(t, width, hashes) for t in encoded(part)]
+                ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+                values = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "shingles": values})
 
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, "doc_id long, shingles binary")
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, "doc_id long, shingles array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -117,19 +123,80 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     joined = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a")), "a").join(
         sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b")), "b"
     )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for x, y in zip(batch.column("of_a"), batch.column("of_b")):
-                one = np.frombuffer(x.as_buffer(), np.uint64)
-                two = np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.sort(np.concatenate((one, two)), kind="stable")
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
-                linked.append(100 * common >= percent * (len(both) - common))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(linked, pa.bool_()))
-
-    return joined.select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
+    common = F.size(F.array_intersect("of_a", "of_b"))
+    return joined.where((100 + percent) * common >= percent * (F.size("of_a") + F.size("of_b"))).select("a", "b")
+
+
+def joining_links(reps: np.ndarray, labels: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links between sets ``left`` and ``right`` (numbers of rows) of different labels, as many as join what links at all."""
+    if len(set(labels.tolist())) < 2:
+        return []
+    sizes = np.array([len(x) for x in sets])
+    rows = np.repeat(np.arange(len(sets)), sizes)
+    _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = counts[column] > 1
+    rows, column = rows[shared], column[shared]
+    order = np.argsort(column, kind="stable")
+    rows, column = rows[order], column[order]
+    common = np.zeros((len(left), len(right)), np.float32)
+    at = 0
+    while at < len(column):
+        first = column[at]
+        end = int(np.searchsorted(column, first + _SHINGLES_AT_ONCE))
+        present = np.zeros((len(sets), _SHINGLES_AT_ONCE), np.float32)
+        present[rows[at:end], column[at:end] - first] = 1
+        common += present[left] @ present[right].T
+        at = end
+    enough = (100 + percent) * common >= percent * (sizes[left][:, None] + sizes[right][None, :])
+    one, two = np.nonzero(enough & (labels[left][:, None] != labels[right][None, :]))
+    root = {x: x for x in labels.tolist()}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    found = []
+    for i, j in zip(left[one].tolist(), right[two].tolist()):
+        a, b = find(labels[i]), find(labels[j])
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            found.append((int(reps[i]), int(reps[j])))
+    return found
+
+
+def links_in_blocks(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: links that join components within the buckets of ``rest(bucket, rep, n, component)``."""
+    firsts = rest.groupBy("bucket").agg(F.min("rep").alias("b"))
+    areas = components(rest.select("bucket", F.col("rep").alias("a")).join(firsts, "bucket").select("a", "b"))
+    members = rest.select("rep", "n", "component").distinct().join(areas.select(F.col("node").alias("rep"), F.col("component").alias("area")), "rep")
+    sizes = members.groupBy("area").agg(
+        F.greatest(F.ceil(F.count("*") / F.lit(BLOCK_SETS)), F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES))).alias("blocks")
+    )
+    members = materialize(
+        members.join(sizes, "area").select("rep", "component", "area", F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block")), "members"
+    )
+    met = rest.select("bucket", "rep").join(members, "rep").select("bucket", "area", "block").distinct()
+    pairs = met.select("bucket", "area", F.col("block").alias("one")).join(met.select("bucket", F.col("block").alias("two")), "bucket")
+    pairs = materialize(pairs.where("one <= two").select("area", "one", "two").distinct(), "block-pairs")
+    texts = members.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    sides = [
+        texts.join(pairs.withColumn("block", F.col(side)).where("one < two" if n else "true"), ["area", "block"]).withColumn("side", F.lit(n))
+        for n, side in enumerate(("one", "two"))
+    ]
+    columns = ["area", "one", "two", "side", "rep", "component", "shingles"]
+    empty = pa.schema([("a", pa.int64()), ("b", pa.int64())]).empty_table()
+
+    def run(rows: pa.Table) -> pa.Table:
+        side = rows.column("side").to_numpy()
+        left = np.flatnonzero(side == 0)
+        right = left if rows.column("one")[0] == rows.column("two")[0] else np.flatnonzero(side == 1)
+        values = [x.values.to_numpy() for chunk in rows.column("shingles").chunks for x in chunk]
+        found = joining_links(rows.column("rep").to_numpy(), rows.column("component").to_numpy(), values, left, right, percent)
+        return pa.table({"a": [x for x, _ in found], "b": [y for _, y in found]}, empty.schema) if found else empty
+
+    return sides[0].select(columns).unionByName(sides[1].select(columns)).groupBy("area", "one", "two").applyInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -137,32 +204,31 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates joining larger neighbours, then smaller ones, to the smallest neighbour of each
     node, until every edge leads to a component's smallest node. Each round is a
-    written table, and needs a join and two aggregates combined on the map side.
+    written table, and needs joins and aggregates combined on the map side.
     """
-    links = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
-    links = materialize(links, "links")
+    links = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b")
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        after = materialize(small.select("e.a", "e.b").where("a > b").distinct(), "links")
-        # Stars: no node is both a center and a leaf, and no leaf has two centers.
-        state = after.select(F.col("a").alias("n"), F.lit(1).alias("leaf"), F.lit(0).alias("center")).unionByName(
-            after.select(F.col("b").alias("n"), F.lit(0).alias("leaf"), F.lit(1).alias("center")).distinct()
+        ends = F.array("a", "b")
+        small = large.join(least, "a").select(F.explode(ends).alias("a"), F.col("m").alias("b")).where("a > b")
+        links = materialize(small.distinct(), "links")
+        # Stars: no leaf has two centers or is a center.
+        uses = links.select(F.col("a").alias("n"), F.lit(1).alias("leaf"), F.lit(0).alias("center")).unionByName(
+            links.select(F.col("b").alias("n"), F.lit(0).alias("leaf"), F.lit(1).alias("center"))
         )
-        mixed_up = state.groupBy("n").agg(F.sum("leaf").alias("leaf"), F.max("center").alias("center")).where("leaf > 1 OR (leaf > 0 AND center > 0)")
-        links = after
-        if mixed_up.isEmpty():
+        uses = uses.groupBy("n").agg(F.sum("leaf").alias("leaf"), F.max("center").alias("center"))
+        if uses.where("leaf > 1 OR (leaf > 0 AND center > 0)").isEmpty():
             break
     nodes = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-def _sizes_fit(one: Column, other: Column, percent: int) -> Column:
-    """Sets of such sizes can be similar."""
-    return F.least(one, other) * 100 >= F.greatest(one, other) * percent
+def _can_link(one: Column, other: Column, percent: int) -> Column:
+    """Whether sets of such sizes can be similar."""
+    return F.least(one["n"], other["n"]) * 100 >= F.greatest(one["n"], other["n"]) * percent
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = SIMILAR_PERCENT) -> DataFrame:
@@ -177,68 +243,44 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = SIMILAR_
     Repeated rows give repeated results. Other columns are not read, an empty table gives an empty result.
     """
     signed = materialize(signatures(docs, width), "signatures")
-    classes = signed.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    rows = (
-        signed.join(classes, ["set_key"])
-        .where("doc_id = rep")
-        .select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
-        .distinct()
-    )
+    sets_only = signed.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
+    classes = sets_only.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
+    # Equal sets have equal bands; copies meet on the map side already.
+    whole = sets_only.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    rows = whole.select("rep", "n", F.explode("bands").alias("bucket"))
     order = Window.partitionBy("bucket").orderBy("n", "rep")
     member = F.struct("rep", "n")
     ranked = rows.select(
         "bucket",
-        "rep",
-        "n",
+        member.alias("member"),
         F.row_number().over(order).alias("rank"),
         F.lag(member).over(order).alias("previous"),
         F.first(member).over(order).alias("leader"),
         F.lead("rep").over(order).alias("next"),
     )
     buckets = materialize(ranked.where("rank > 1 OR next IS NOT NULL").drop("next"), "buckets")
-    ids = buckets.select(F.col("rep").alias("doc_id")).distinct()
+    ids = buckets.select(F.col("member.rep").alias("doc_id")).distinct()
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = materialize(shingle_sets(own.join(ids, "doc_id", "left_semi"), width).dropDuplicates(["doc_id"]), "sets")
 
     def as_pairs(found: DataFrame) -> DataFrame:
-        """Distinct pairs, smaller id first, that sizes allow; from columns rep, n, other.rep, other.n."""
-        return (
-            found.where(_sizes_fit(F.col("n"), F.col("other.n"), percent) & (F.col("rep") != F.col("other.rep")))
-            .select(F.least("rep", "other.rep").alias("a"), F.greatest("rep", "other.rep").alias("b"))
-            .distinct()
-        )
+        """Distinct pairs, smaller id first, from columns member and other."""
+        one, other = F.col("member.rep"), F.col("other.rep")
+        return found.where(one != other).select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).distinct()
 
-    near = buckets.where("rank > 1").select("rep", "n", F.explode(F.array("previous", "leader")).alias("other"))
-    pairs = materialize(as_pairs(near), "pairs")
+    near = buckets.where("rank > 1").select("member", F.explode(F.array("previous", "leader")).alias("other"))
+    pairs = materialize(as_pairs(near.where(_can_link(F.col("member"), F.col("other"), percent))), "pairs")
     edges = materialize(verified(pairs, sets, percent), "edges")
-    joined = materialize(components(edges), "components")
-    done, leaders, first = [pairs], FIRST_LEADERS, 1
-    while True:
-        # Buckets whose members are not all in one component.
-        labelled = buckets.select("bucket", "rep", "n", "rank").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-        labelled = labelled.withColumn("component", F.coalesce("component", "rep"))
-        split = labelled.groupBy("bucket").agg(
-            F.min("component").alias("least"), F.max("component").alias("most"), F.max("rank").alias("members")
-        ).where((F.col("least") != F.col("most")) & (F.col("members") > first))
-        rest = materialize(labelled.join(split.select("bucket"), "bucket", "left_semi"), "rest")
-        lead = rest.where(F.col("rank").between(first, leaders)).select(
-            "bucket", F.struct("rep", "n").alias("other"), F.col("rank").alias("lead"), F.col("component").alias("theirs")
-        )
-        asked = as_pairs(
-            rest.join(lead, "bucket").where((F.col("rank") > F.col("lead")) & (F.col("component") != F.col("theirs")))
-        )
-        for old in done:
-            asked = asked.join(old, ["a", "b"], "left_anti")
-        asked = materialize(asked, "pairs")
-        more = materialize(verified(asked, sets, percent), "edges")
-        if not more.isEmpty():
-            edges = edges.unionByName(more)
-            joined = materialize(components(edges), "components")
-        done.append(asked)
-        if rest.where(F.col("rank") > leaders).isEmpty():
-            break
-        first, leaders = leaders + 1, leaders * MORE_LEADERS
-    named = classes.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
+    joined = components(edges)
+    labelled = buckets.select("bucket", "member.rep", "member.n").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+    labelled = labelled.select("bucket", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    sizes = labelled.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("n"))
+    split = sizes.where((F.col("least") < F.col("most")) & (F.col("n") > ALL_COMPARED))
+    rest = materialize(labelled.join(split.select("bucket"), "bucket", "left_semi"), "rest")
+    more = materialize(links_in_blocks(rest, sets, percent), "edges")
+    if not more.isEmpty():
+        joined = components(edges.unionByName(more))
+    named = classes.join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         "set_key", F.coalesce("component", "rep").alias("component")
     )
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
@@ -248,3 +290,16 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = SIMILAR_
         component.alias("component_id"),
         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
     )
+
+
+def representatives(docs: DataFrame, width: int = WIDTH, percent: int = SIMILAR_PERCENT) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates, that of the smallest id, and all its columns.
+
+    Rows of equal id count as one document; of them the one with the smallest text stays. Rows without an id all stay.
+    """
+    judged = near_duplicates(docs, width, percent)
+    gone = judged.where("NOT kept").select("doc_id").distinct()
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    first = Window.partitionBy("doc_id").orderBy("text")
+    named = left.where("doc_id IS NOT NULL").withColumn("_row", F.row_number().over(first)).where("_row = 1").drop("_row")
+    return named.unionByName(left.where("doc_id IS NULL"))
