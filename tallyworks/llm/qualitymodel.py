@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -174,6 +174,24 @@ class WordScores:
         return sums[ends] - sums[starts] + same * self.weights[REPEATED], counts[ends] - counts[starts] + same
 
 
+def _scorer(model: Model | None) -> Callable[[], Callable[[list[bytes]], np.ndarray]]:
+    """Makes, in a task, a function from texts to scores."""
+    weights, bias = model.logits() if model else (np.zeros(2), 0.0)
+    weights = weights.astype(np.float64)
+
+    def start() -> Callable[[list[bytes]], np.ndarray]:
+        words = WordScores(weights)
+
+        def scores(texts: list[bytes]) -> np.ndarray:
+            sums, counts = words.of(texts)
+            z = sums / np.maximum(counts, 1) + bias
+            return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+
+        return scores
+
+    return start
+
+
 def score_documents(docs: DataFrame, model: Model | None) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of each row of ``docs(doc_id, text)``.
 
@@ -181,17 +199,13 @@ def score_documents(docs: DataFrame, model: Model | None) -> DataFrame:
     Null and empty texts get what the bias says; without a model all scores are 0.5.
     Repeated rows and null ids stay, other columns are not read, an empty table gives an empty result.
     """
-    weights, bias = model.logits() if model else (np.zeros(2), 0.0)
-    weights = weights.astype(np.float64)
+    start = _scorer(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = WordScores(weights)
+        scores = start()
         for batch in batches:
             for part in slices(batch):
-                sums, counts = scores.of(encoded(part))
-                z = sums / np.maximum(counts, 1) + bias
-                score = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "score": pa.array(score)})
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "score": pa.array(scores(encoded(part)))})
 
     scored = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double")
     return scored.select(
@@ -200,3 +214,16 @@ def score_documents(docs: DataFrame, model: Model | None) -> DataFrame:
         "score",
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
     )
+
+
+def accepted(docs: DataFrame, model: Model | None, least: float = 0.5) -> DataFrame:
+    """Those rows of ``docs`` with a score of ``least`` or more, with all their columns."""
+    start = _scorer(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = start()
+        for batch in batches:
+            for part in slices(batch):
+                yield part.filter(pa.array(scores(encoded(part)) >= least))
+
+    return docs.mapInArrow(run, docs.schema)
