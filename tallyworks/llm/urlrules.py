@@ -152,8 +152,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", key: str =
     fitting = sweep(asked.select("key").distinct(), ruled.select(F.col("innermost").alias("key")))
     found = (
         asked.join(fitting, "key")
-        .where(F.size("stack") > 0)
-        .select("host", "path", F.element_at("stack", -1).alias("innermost"))
+        .select("host", "path", F.try_element_at("stack", F.lit(-1)).alias("innermost"))
         .join(ruled, "innermost")
         .groupBy("host", "path")
         .agg(
