@@ -19,7 +19,7 @@ GRAMS = (2, 3, 4)
 
 # At most so many labelled rows are collected for training, those of smallest hash.
 TRAINING_ROWS = 6000
-EPOCHS = 10
+EPOCHS, LEAST_STEPS = 10, 1500  # few rows are gone through more often
 BATCH = 32
 RATE = 0.15
 
@@ -27,7 +27,8 @@ RATE = 0.15
 WORDS_KEPT = 400_000
 
 # The bucket of a word that stands right behind itself; words and n-grams never hash to it.
-REPEATED = 0
+# It counts as often as a word has n-grams or so.
+REPEATED, REPEATED_COUNT = 0, 8
 
 _WORD_SALT = np.uint64(0x51ED270B7F4A7C15)
 
@@ -70,7 +71,7 @@ def bag(text: bytes, buckets: int) -> np.ndarray:
     words = words_of(text)
     _, found = features(words, buckets)
     counts = np.bincount(found, minlength=buckets)
-    counts[REPEATED] = sum(map(eq, words, words[1:]))
+    counts[REPEATED] = REPEATED_COUNT * sum(map(eq, words, words[1:]))
     return (counts / max(1, counts.sum())).astype(np.float32)
 
 
@@ -96,7 +97,7 @@ def train(bags: np.ndarray, labels: np.ndarray, seed: int = 7) -> Model:
     )
     squares = [np.full_like(x, 1e-8) for x in (model.vectors, model.output, model.bias)]
     target = np.eye(2, dtype=np.float32)[labels]
-    for epoch in range(EPOCHS):
+    for epoch in range(max(EPOCHS, -(-LEAST_STEPS * BATCH // n))):
         order = rng.permutation(n)
         for at in range(0, n, BATCH):
             rows = order[at : at + BATCH]
@@ -167,7 +168,7 @@ class WordScores:
             order += map(self.place.__getitem__, words)
         at = np.array(order, np.int64)
         ends = np.cumsum([len(w) for w in split])
-        same = np.array([sum(map(eq, words, words[1:])) for words in split], np.int64)
+        same = REPEATED_COUNT * np.array([sum(map(eq, words, words[1:])) for words in split], np.int64)
         sums = np.append(0, np.cumsum(self.sums[at]))
         counts = np.append(0, np.cumsum(self.counts[at]))
         starts = np.append(0, ends[:-1])
