@@ -1,0 +1,45 @@
+import re
+import zlib
+from collections import defaultdict
+
+from tallyworks.llm import kdshards
+
+from .conftest import ODD_TEXTS
+
+
+def check(texts, rows, shards):
+    assert sorted(r.doc_id for r in rows) == list(range(len(texts)))
+    slots, sizes = defaultdict(list), defaultdict(int)
+    for r in rows:
+        raw = (texts[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(raw) + 16, zlib.crc32(raw), "bytes", None)
+        assert 0 <= r.shard < shards
+        slots[r.shard].append(r.slot)
+        sizes[r.shard] += r.size
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    return sizes
+
+
+def test_near_equal_bytes(docs_of, plan_of, monkeypatch):
+    monkeypatch.setattr(kdshards, "BINS", 64)
+    monkeypatch.setattr(kdshards, "ROWS_PER_CHUNK", 20)
+    texts = [f"text {i} " * (i % 37 + 1) for i in range(1500)] + ["the same text " * 20] * 700
+    result = kdshards.shard_documents(docs_of(texts, shard="x", hash=1), 7)
+    sizes = check(texts, result.collect(), 7)
+    mean, largest = sum(sizes.values()) / 7, max(map(len, texts)) + 16
+    assert len(sizes) == 7 and all(abs(s - mean) <= 3 * largest + 0.01 * mean for s in sizes.values())
+    assert not re.search("EvalPython|MapIn|FlatMapGroups", plan_of(result))
+
+
+def test_odd_texts_and_more_shards_than_rows(docs_of):
+    check(ODD_TEXTS, kdshards.shard_documents(docs_of(ODD_TEXTS), 12).collect(), 12)
+
+
+def test_repeated_rows_and_nulls(docs_of):
+    docs = docs_of(["a"] * 4).selectExpr("CAST(NULL AS LONG) AS doc_id", "text", "CAST(NULL AS STRING) AS lang", "CAST(NULL AS STRING) AS source")
+    rows = kdshards.shard_documents(docs.unionByName(docs), 3).collect()
+    assert len(rows) == 8 and len({(r.shard, r.slot) for r in rows}) == 8
+
+
+def test_empty_table(docs_of):
+    assert kdshards.shard_documents(docs_of([]), 5).collect() == []

@@ -1,0 +1,99 @@
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from tallyworks.llm import packing
+from tallyworks.llm.queries import tokenizer_path
+
+from .conftest import ODD_TEXTS
+
+
+def best_fit_decreasing(lengths, capacity):
+    """Room left in each bin, one piece after the other."""
+    bins = []
+    for length in sorted(lengths, reverse=True):
+        fitting = [i for i, room in enumerate(bins) if room >= length]
+        if fitting:
+            best = min(fitting, key=bins.__getitem__)
+            bins[best] -= length
+        else:
+            bins.append(capacity - length)
+    return sorted(bins)
+
+
+def test_plan_is_best_fit_decreasing():
+    rng = random.Random(1)
+    for _ in range(150):
+        capacity = rng.choice([4, 9, 17, 64])
+        lengths = [rng.randint(1, capacity) for _ in range(rng.randint(1, 90))]
+        filled, placed = defaultdict(list), Counter()
+        for length, start, end, first, each, offset in packing.best_fit_plan(Counter(lengths), capacity):
+            for rank in range(start, end):
+                filled[first + (rank - start) // each].append((offset + (rank - start) % each * length, length))
+                placed[length] += 1
+        assert placed == Counter(lengths)
+        for pieces in filled.values():
+            at = 0
+            for offset, length in sorted(pieces):
+                assert offset == at
+                at += length
+        assert sorted(capacity - sum(n for _, n in p) for p in filled.values()) == best_fit_decreasing(lengths, capacity)
+
+
+def test_tightest_room():
+    bins = packing.OpenBins(10)
+    for room in (3, 7, 10):
+        bins.add(room, 0, 1)
+    assert [bins.tightest(n) for n in (1, 3, 4, 8, 10)] == [3, 3, 7, 10, 10]
+    bins.take(10)
+    assert bins.tightest(8) is None
+
+
+def test_word_tokens_equal_whole_texts():
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    texts = [
+        "It's DON'T rock'n'roll!! 12,345.6 a.b-c",
+        "ÀÉÎ ñandú Straße İstanbul ΑΣ ΟΔΟΣ",
+        "ä é ≠ !̈",
+        "<|endoftext|> x<|startoftext|>y <|z|>",
+        "日本語 テスト 🙂   　 x\u0085y",
+        "½ ² ①… —“quoted”—",
+        "",
+    ]
+    store = packing.WordTokens(tokenizer_path())
+    ids, ends = store.tokens([t.encode() for t in texts])
+    for text, part in zip(texts, np.split(ids, ends[:-1])):
+        assert part.tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [0]
+
+
+@pytest.mark.parametrize("capacity", [16, 2048])
+def test_pieces_and_places(docs_of, capacity):
+    texts = ODD_TEXTS + ["word " * n for n in range(0, 40, 3)]
+    docs = docs_of(texts, length=5, offset="x")
+    rows = packing.pack_documents(docs, tokenizer_path(), capacity, with_ids=True).collect()
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        assert zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 and len(r.ids) == r.length
+        by_doc[r.doc_id].append(r)
+        by_sequence[r.sequence_id].append((r.offset, r.length))
+    for i, text in enumerate(texts):
+        pieces = sorted(by_doc[i], key=lambda r: r.piece)
+        assert [r.piece for r in pieces] == list(range(len(pieces)))
+        assert [x for r in pieces for x in r.ids] == tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+        assert all(r.start == r.piece * capacity for r in pieces)
+    for places in by_sequence.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    assert len(by_sequence) == len(best_fit_decreasing([r.length for r in rows], capacity))
+
+
+def test_empty_table(docs_of):
+    assert packing.pack_documents(docs_of([]), tokenizer_path()).collect() == []
