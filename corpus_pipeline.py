@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm import nearduplicates, packing, qualitymodel, repetition, secretscan
 from tallyworks.llm.queries import table, tokenizer_path
+from tallyworks.llm.words import free_name
 from tallyworks.session import materialize
 
 
@@ -32,11 +33,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with a mark in place of each secret; ``n_chars`` follows the text."""
     text = secretscan.redacted(F.col("text"), secretscan.discovery_limit(docs))
-    clean = docs.withColumn("_clean", text)
-    changed = F.coalesce(F.col("_clean") != F.col("text"), F.lit(False))
+    name = free_name(docs, "_clean")
+    clean = docs.withColumn(name, text)
     if "n_chars" in docs.columns:
-        clean = clean.withColumn("n_chars", F.when(changed, F.length("_clean").cast("long")).otherwise(F.col("n_chars")))
-    return clean.withColumn("text", F.col("_clean")).select(*docs.columns)
+        changed = F.coalesce(F.col(name) != F.col("text"), F.lit(False))
+        clean = clean.withColumn("n_chars", F.when(changed, F.length(name).cast("long")).otherwise(F.col("n_chars")))
+    return clean.withColumn("text", F.col(name)).select(*docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

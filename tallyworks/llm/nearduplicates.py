@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyworks.llm.words import WordHashes, encoded, mixed, shingle_hashes, slices, words_of
+from tallyworks.llm.words import WordHashes, encoded, free_name, mixed, shingle_hashes, slices, words_of
 from tallyworks.session import materialize
 
 WIDTH = 5
@@ -301,5 +301,6 @@ def representatives(docs: DataFrame, width: int = WIDTH, percent: int = SIMILAR_
     gone = judged.where("NOT kept").select("doc_id").distinct()
     left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     first = Window.partitionBy("doc_id").orderBy("text")
-    named = left.where("doc_id IS NOT NULL").withColumn("_row", F.row_number().over(first)).where("_row = 1").drop("_row")
+    row = free_name(docs, "_row")
+    named = left.where("doc_id IS NOT NULL").withColumn(row, F.row_number().over(first)).where(F.col(row) == 1).drop(row)
     return named.unionByName(left.where("doc_id IS NULL"))

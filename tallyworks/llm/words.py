@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.sql import DataFrame
 
 # Texts that are worked on at once have about this many bytes, or are one long text.
 BYTES_AT_ONCE = 1_500_000
@@ -18,6 +19,13 @@ _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _S30, _S27, _S31 = np.uint64(30), np.uint64(27), np.uint64(31)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has such a column."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def words_of(text: bytes) -> list[bytes]:
     """Runs of ``[^\\x20\\x09-\\x0D]`` in UTF-8: what ``bytes.split`` gives."""
     return text.split()
