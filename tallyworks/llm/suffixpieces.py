@@ -11,9 +11,10 @@ as an encoding by merges is right if every two neighbours in it are.
 from __future__ import annotations
 
 import gc
+import math
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -25,8 +26,21 @@ from tallyworks.llm.repetition import window_ranks
 from tallyworks.llm.words import slices
 
 SPACE = "▁"
-# A word with the spaces before it, a line break, or spaces at the end: no piece reaches across.
-_UNITS = re.compile(rf"{SPACE}*[^{SPACE}\n]+|\n|{SPACE}+")
+LETTER = r"[^\W\d_]"
+PUNCTUATION = ".,;:!?*#$%&|"
+
+
+def unit_pattern(pieces: Iterable[str]) -> re.Pattern:
+    """Cuts a text where no piece reaches across: before spaces, around line breaks, and between a letter and punctuation."""
+    inside = [(a, b) for p in pieces for a, b in zip(p, p[1:])]
+    if any(b == SPACE != a or "\n" in (a, b) for a, b in inside):
+        raise ValueError("a piece reaches across words")
+    apart = re.escape("".join(c for c in PUNCTUATION if not any(b == c and re.match(LETTER, a) for a, b in inside)))
+    if not apart:
+        return re.compile(rf"{SPACE}*[^{SPACE}\n]+|\n|{SPACE}+")
+    more = rf"(?:[^{SPACE}\n{apart}]|(?<!{LETTER})[{apart}])"
+    return re.compile(rf"{SPACE}*{more}+|[{apart}]{more}*|\n|{SPACE}+")
+
 
 WORDS_KEPT = 500_000
 BYTES_AT_ONCE = 4_000_000
@@ -45,8 +59,7 @@ class PieceVocabulary:
         self.ids = np.array([i for i in range(size) if not special[i]])
         self.rank = {self.pieces[i]: (-self.model.get_score(i), i) for i in self.ids.tolist()}
         self.byte = {int(self.pieces[i][3:5], 16): i for i in range(size) if self.model.is_byte(i)}
-        if any(re.search(f"[^{SPACE}]{SPACE}", p) or ("\n" in p and p != "\n") for p in self.rank):
-            raise ValueError("a piece reaches across words")
+        self.units = unit_pattern(self.rank)
         letters = sorted({c for p in self.rank for c in p})
         self.code = {c: i + 1 for i, c in enumerate(letters)}  # 0 stands between words
         self.other = len(letters) + 1
@@ -60,22 +73,45 @@ class PieceVocabulary:
         for row, i in enumerate(self.ids.tolist()):
             self.chars[row, : len(self.pieces[i])] = [self.code[c] for c in self.pieces[i]]
         self.lengths = np.array([len(self.pieces[i]) for i in self.ids.tolist()])
-        self.made = np.array([self.merged(p) == [p] for p in self.pieces])  # by piece: whether merges make it at all
+        self.histories = [self.history(p) for p in self.pieces]
+        self.made = np.array([h[0] == [p] for h, p in zip(self.histories, self.pieces)])  # whether merges make a piece at all
         self.known_pairs = np.empty(0, np.int64)
         self.known_valid = np.empty(0, bool)
 
-    def merged(self, text: str) -> list[str]:
-        """The pieces of a short text by the merges themselves: again and again the best adjacent pair, from the left."""
-        parts = list(text)
+    def history(self, text: str) -> tuple[list[str], list[float], list[str], list[str]]:
+        """What the merges make of a short text: again and again the best adjacent pair, from the left.
+
+        Returns the last parts; the rank of each merge, with an endless one behind; and the first and the last part before each.
+        """
+        parts, ranks, firsts, lasts = list(text), [], [], []
         while True:
-            best = min(
-                ((self.rank[a + b][0], at) for at, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.rank), default=None
-            )
+            firsts.append(parts[0])
+            lasts.append(parts[-1])
+            best = min(((self.rank[a + b][0], at) for at, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.rank), default=None)
             if best is None:
-                return parts
-            at = best[1]
+                return parts, [*ranks, math.inf], firsts, lasts
+            rank, at = best
+            ranks.append(rank)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
+    def stay_apart(self, one: int, two: int) -> bool:
+        """Whether no merge joins parts of both pieces, while each is merged by itself."""
+        _, left_ranks, _, lasts = self.histories[one]
+        _, right_ranks, firsts, _ = self.histories[two]
+        i = j = 0
+        rank = self.rank
+        while True:
+            joined = rank.get(lasts[i] + firsts[j])
+            left, right = left_ranks[i], right_ranks[j]
+            if joined is not None and joined[0] < left and joined[0] <= right:
+                return False
+            if left == right == math.inf:
+                return True
+            if left <= right:
+                i += 1
+            else:
+                j += 1
+
     def may_follow(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
         """Whether the merges leave each pair of pieces as it is. Pairs are worked out once."""
         keys = before.astype(np.int64) * len(self.pieces) + piece
@@ -87,8 +123,7 @@ class PieceVocabulary:
         if len(new):
             valid = np.empty(len(new), bool)
             for i, key in enumerate(new.tolist()):
-                one, two = (self.pieces[x] for x in divmod(key, len(self.pieces)))
-                valid[i] = self.merged(one + two) == [one, two]
+                valid[i] = self.stay_apart(*divmod(key, len(self.pieces)))
             pairs = np.concatenate((self.known_pairs, new))
             order = np.argsort(pairs, kind="stable")
             self.known_pairs, self.known_valid = pairs[order], np.concatenate((self.known_valid, valid))[order]
@@ -181,7 +216,8 @@ class TextEncoder:
         self.ids: dict[str, list[int]] = {}
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        units = [_UNITS.findall(self.vocabulary.model.normalize(t)) for t in texts]
+        cut = self.vocabulary.units
+        units = [cut.findall(self.vocabulary.model.normalize(t)) for t in texts]
         used = set().union(*units)
         if len(self.ids) + len(used) > WORDS_KEPT:
             self.ids.clear()
