@@ -15,7 +15,6 @@ import math
 import re
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +41,7 @@ def unit_pattern(pieces: Iterable[str]) -> re.Pattern:
     return re.compile(rf"{SPACE}*{more}+|[{apart}]{more}*|\n|{SPACE}+")
 
 
-WORDS_KEPT = 500_000
+WORDS_KEPT = 1_000_000
 BYTES_AT_ONCE = 4_000_000
 
 
@@ -69,6 +68,9 @@ class PieceVocabulary:
         self.bytes_of = [p.replace(SPACE, " ").encode("utf-8") for p in self.pieces]
         for value, i in self.byte.items():
             self.bytes_of[i] = bytes([value])
+        self.flat = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        self.flat_sizes = np.array(list(map(len, self.bytes_of)), np.int64)
+        self.flat_starts = np.cumsum(self.flat_sizes) - self.flat_sizes
         self.chars = np.zeros((len(self.ids), self.longest), np.int32)
         for row, i in enumerate(self.ids.tolist()):
             self.chars[row, : len(self.pieces[i])] = [self.code[c] for c in self.pieces[i]]
@@ -124,9 +126,8 @@ class PieceVocabulary:
             valid = np.empty(len(new), bool)
             for i, key in enumerate(new.tolist()):
                 valid[i] = self.stay_apart(*divmod(key, len(self.pieces)))
-            pairs = np.concatenate((self.known_pairs, new))
-            order = np.argsort(pairs, kind="stable")
-            self.known_pairs, self.known_valid = pairs[order], np.concatenate((self.known_valid, valid))[order]
+            places = at[~known]
+            self.known_pairs, self.known_valid = np.insert(self.known_pairs, places, new), np.insert(self.known_valid, places, valid)
             at = np.searchsorted(self.known_pairs, asked)
         return self.known_valid[at][place]
 
@@ -154,8 +155,8 @@ class PieceVocabulary:
             low[rows], high[rows] = ends
         return low, high
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """The ids of each word."""
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, as little-endian 32-bit numbers."""
         sizes = np.array([len(w) for w in words])
         starts = np.cumsum(sizes + 1) - sizes - 1
         total = int(sizes.sum() + len(words))
@@ -192,32 +193,47 @@ class PieceVocabulary:
             pairs = np.flatnonzero(~first & (p >= 0) & (before >= 0))
             fits[pairs] = self.may_follow(before[pairs], p[pairs])
             last[e[fits]], back[e[fits]] = p[fits], s[fits]
-        out: list[list[int]] = []
-        last_of, back_of = last.tolist(), back.tolist()
-        for w, start, size in zip(words, starts.tolist(), sizes.tolist()):
-            ids: list[int] = []
-            at = start + size
-            while at > start:
-                if last_of[at] >= 0:
-                    ids.append(last_of[at])
-                else:
-                    ids += [self.byte[x] for x in reversed(w[at - 1 - start].encode("utf-8"))]
-                at = back_of[at]
-            ids.reverse()
-            out.append(ids)
+        # Back from the ends, in all words at once; a round gives each open word one piece more.
+        at, live, rounds = starts + sizes, np.arange(len(words)), []
+        while len(live):
+            place = at[live]
+            rounds.append((live, last[place]))
+            at[live] = back[place]
+            live = live[at[live] > starts[live]]
+        of = np.concatenate([w for w, _ in rounds])
+        nth = np.repeat(np.arange(len(rounds)), [len(w) for w, _ in rounds])
+        ends = np.cumsum(np.bincount(of, minlength=len(words)))
+        flat = np.empty(len(of), "<u4")
+        flat[ends[of] - 1 - nth] = np.concatenate([ids for _, ids in rounds]).astype(np.uint32)
+        raw, cuts = flat.tobytes(), (4 * ends).tolist()
+        out = [raw[x:y] for x, y in zip([0, *cuts], cuts)]
+        for w in np.unique(np.searchsorted(starts, lone, side="right") - 1).tolist():
+            out[w] = self.with_bytes(words[w], int(starts[w]), last, back)
         return out
 
+    def with_bytes(self, word: str, start: int, last: np.ndarray, back: np.ndarray) -> bytes:
+        """The ids of a word with characters that are in no piece: their UTF-8 bytes stand for them."""
+        ids: list[int] = []
+        at = start + len(word)
+        while at > start:
+            if last[at] >= 0:
+                ids.append(int(last[at]))
+            else:
+                ids += [self.byte[x] for x in reversed(word[at - 1 - start].encode("utf-8"))]
+            at = int(back[at])
+        return np.array(ids[::-1], "<u4").tobytes()
+
 
 class TextEncoder:
     """Encodes texts by their words, each distinct one once, until the store is full."""
 
     def __init__(self, path: str):
         self.vocabulary = PieceVocabulary(path)
-        self.ids: dict[str, list[int]] = {}
+        self.ids: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        cut = self.vocabulary.units
-        units = [cut.findall(self.vocabulary.model.normalize(t)) for t in texts]
+    def encode_raw(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts that the model has normalized, as little-endian 32-bit numbers."""
+        units = list(map(self.vocabulary.units.findall, texts))
         used = set().union(*units)
         if len(self.ids) + len(used) > WORDS_KEPT:
             self.ids.clear()
@@ -225,11 +241,21 @@ class TextEncoder:
         if new:
             self.ids.update(zip(new, self.vocabulary.encode_words(new)))
         ids = self.ids
-        return [list(chain.from_iterable(map(ids.__getitem__, u))) for u in units]
+        return [b"".join(map(ids.__getitem__, u)) for u in units]
 
-    def decode(self, ids: list[int]) -> str:
+    def decode_raw(self, ids: bytes) -> str:
         """Pieces joined, bytes put together (what is no UTF-8 becomes a replacement character), spaces restored and the first one, which encoding puts there, taken off."""
-        return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
+        v, rows = self.vocabulary, np.frombuffer(ids, "<u4")
+        sizes = v.flat_sizes[rows]
+        shift = v.flat_starts[rows] - (np.cumsum(sizes) - sizes)
+        joined = v.flat[np.repeat(shift, sizes) + np.arange(sizes.sum())]
+        return joined.tobytes().decode("utf-8", "replace").removeprefix(" ")
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [np.frombuffer(x, "<u4").tolist() for x in self.encode_raw(list(map(self.vocabulary.model.normalize, texts)))]
+
+    def decode(self, ids: list[int]) -> str:
+        return self.decode_raw(np.array(ids, "<u4").tobytes())
 
 
 _encoders: dict[str, TextEncoder] = {}
@@ -253,16 +279,18 @@ def encode_documents(docs: DataFrame, model: str, with_ids: bool = True) -> Data
         for batch in batches:
             for part in slices(batch, at_once=BYTES_AT_ONCE):
                 texts = [t or "" for t in part.column("text").to_pylist()]
-                found = encoder.encode(texts)
-                normal = [encoder.vocabulary.model.normalize(t).replace(SPACE, " ").removeprefix(" ") for t in texts]
+                normal = list(map(encoder.vocabulary.model.normalize, texts))
+                found = encoder.encode_raw(normal)
                 columns = {
                     "doc_id": part.column("doc_id"),
-                    "n_ids": pa.array(map(len, found), pa.int64()),
-                    "ids_crc32": pa.array([zlib.crc32(np.array(ids, "<u4").tobytes()) for ids in found], pa.int64()),
-                    "decoded_same": pa.array([encoder.decode(ids) == t for ids, t in zip(found, normal)]),
+                    "n_ids": pa.array([len(x) // 4 for x in found], pa.int64()),
+                    "ids_crc32": pa.array(map(zlib.crc32, found), pa.int64()),
+                    "decoded_same": pa.array(
+                        [encoder.decode_raw(x) == t.replace(SPACE, " ").removeprefix(" ") for x, t in zip(found, normal)]
+                    ),
                 }
                 if with_ids:
-                    columns["ids"] = pa.array(found, pa.list_(pa.int32()))
+                    columns["ids"] = pa.array([np.frombuffer(x, "<i4") for x in found], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_pydict(columns)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
