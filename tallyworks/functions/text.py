@@ -66,18 +66,19 @@ def unique_terms(terms: list[str]) -> list[str]:
     return list(dict.fromkeys(terms))
 
 
-def required(value: Column, source: Column, what: str, mode: str) -> Column:
-    """``value``; where it is NULL, strict mode fails the job and names the record."""
-    if check_mode(mode) == PERMISSIVE:
-        return value
-    return F.coalesce(
-        value, F.raise_error(F.concat(F.lit(f"bad {what}: "), F.coalesce(source, F.lit("NULL"))))
+def all_sound(sound: Column, source: Column, what: str) -> Column:
+    """A condition that holds for sound records and fails the job at any other, naming it.
+
+    As a filter it stays whatever columns are selected later.
+    """
+    message = F.concat(F.lit(f"bad {what}: "), F.coalesce(source.cast("string"), F.lit("NULL")))
+    return F.when(F.coalesce(sound, F.lit(False)), F.lit(True)).otherwise(
+        F.raise_error(message).cast("boolean")
     )
 
 
-def between_markers(text: Column, opening: str, closing: str) -> Column:
-    """The text from the first ``opening`` to the first ``closing`` after it, else NULL."""
-    start = F.instr(text, opening)
-    rest = F.substring(text, start + F.lit(len(opening)), F.length(text))
-    end = F.instr(rest, closing)
-    return F.when((start > 0) & (end > 0), F.substring(rest, F.lit(1), end - F.lit(1)))
+def inside_tag(html: Column, tag: str) -> Column:
+    """What stands between the first ``<tag>`` and its end, or the end of the page; NULL without the tag."""
+    opening, closing = rf"<{tag}(?:\s[^>]*)?>", rf"</{tag}\s*>"
+    inside = F.regexp_extract(html, rf"(?is){opening}(.*?)(?:{closing}|\z)", 1)
+    return F.when(F.regexp_like(html, F.lit(rf"(?i){opening}")), inside)

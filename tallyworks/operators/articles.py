@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.functions.text import STRICT, between_markers, check_mode, required
+from tallyworks.functions.text import STRICT, all_sound, check_mode, inside_tag
 
 # The layout of an article line.
 TITLE_OFFSET = 14
@@ -36,18 +36,14 @@ def parse_articles(
     sound = (at > 0) & (title_length >= 0) & (text_length >= 0)
     title = F.when(sound, F.substring(value, F.lit(title_offset + 1), title_length))
     text = F.when(sound, F.substring(value, text_start, text_length))
-    kept = lines if mode == STRICT else lines.where(sound)
-    return kept.select(
-        *keep,
-        required(title, value, "article", mode).alias("title"),
-        text.alias("text"),
-    )
+    kept = lines.where(all_sound(sound, value, "article") if mode == STRICT else sound)
+    return kept.select(*keep, title.alias("title"), text.alias("text"))
 
 
 def parse_pages(pages: DataFrame, *keep: str, html: str = "html") -> DataFrame:
-    """``title, text`` of web pages by their tags; a page without a tag gives NULL."""
+    """``title, text`` of web pages by their tags; a page without a tag gives NULL, a missing end tag means the end of the page."""
     return pages.select(
         *keep,
-        between_markers(F.col(html), "<title>", "</title>").alias("title"),
-        between_markers(F.col(html), "<body>", "</body>").alias("text"),
+        inside_tag(F.col(html), "title").alias("title"),
+        inside_tag(F.col(html), "body").alias("text"),
     )

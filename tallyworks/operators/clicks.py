@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.functions.text import STRICT, char_pattern, check_mode, required
+from tallyworks.functions.text import STRICT, all_sound, char_pattern, check_mode
 from tallyworks.operators.grouping import MAX_ROWS_PER_PIECE, collect_in_pieces
 
 # The layout of a click record.
@@ -35,15 +35,10 @@ def parse_clicks(
     """
     check_mode(mode)
     fields = _click_fields(value, separator)
-    raw = F.col(value)
+    sound = _is_sound(fields)
     if mode == STRICT:
-        parsed = records.select(
-            *keep, *[required(field, raw, "click", mode).alias(n) for n, field in fields.items()]
-        )
-    else:
-        parsed = records.where(_is_sound(fields)).select(
-            *keep, *[field.alias(n) for n, field in fields.items()]
-        )
+        sound = all_sound(sound, F.col(value), "click")
+    parsed = records.where(sound).select(*keep, *[field.alias(n) for n, field in fields.items()])
     return parsed.select(
         *keep, F.timestamp_millis("ts_ms").alias("ts"), "user_id", "item"
     )
@@ -126,7 +121,7 @@ def user_item_windows(
 
 def user_item_window_at(
     clicks: DataFrame,
-    end: datetime,
+    end: datetime | None,
     window: str = WINDOW,
     max_rows: int = MAX_ROWS_PER_PIECE,
 ) -> DataFrame:
@@ -146,9 +141,10 @@ def user_item_window_at(
 
 
 def newest_window_end(clicks: DataFrame, slide: str = SLIDE) -> datetime | None:
-    """End of the newest window that is not later than a slide after the last click."""
+    """End of the newest window that is not later than a slide after the last click; None without clicks."""
     last = clicks.agg(F.max("ts").alias("ts"))
-    return last.select(F.window("ts", slide)["end"].alias("end")).first()["end"]
+    newest = last.select(F.window("ts", slide)["end"].alias("end")).first()
+    return newest and newest["end"]
 
 
 def offset_ranges(records: DataFrame) -> DataFrame:

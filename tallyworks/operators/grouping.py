@@ -90,7 +90,7 @@ def gather(rows: DataFrame, keys: list[str], element: Column, name: str) -> Data
 def integer_median(
     rows: DataFrame, keys: list[str], value: str, weight: str | None = None
 ) -> DataFrame:
-    """Exact median of a 32-bit integer column per key, as the reference set defines it.
+    """Exact median of a 32-bit integer column per key, with its own rule for even counts.
 
     The middle value, or for an even count the mean of the two middle values
     truncated toward zero. Counts per distinct value are combined on the map

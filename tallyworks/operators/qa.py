@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.functions.text import STRICT, check_mode, required
+from tallyworks.functions.text import STRICT, all_sound, check_mode
 from tallyworks.operators.grouping import MAX_ROWS_PER_PIECE, collect_in_pieces, group_sizes
 from tallyworks.operators.ranking import DEFAULT_TERMS
 
@@ -37,9 +37,10 @@ def parse_postings(lines: DataFrame, line: str = "value", mode: str = STRICT) ->
     """
     check_mode(mode)
     parsed = lines.select(F.col(line).alias("_line"), *_posting_fields(F.col(line)))
+    sound = ~_is_malformed()
     if mode == STRICT:
-        return parsed.select(*[_strict_field(name).alias(name) for name in POSTING_COLUMNS])
-    return parsed.where(~_is_malformed()).select(*POSTING_COLUMNS)
+        sound = all_sound(sound, F.col("_line"), "posting")
+    return parsed.where(sound).select(*POSTING_COLUMNS)
 
 
 def malformed_postings(lines: DataFrame, line: str = "value") -> DataFrame:
@@ -69,16 +70,6 @@ def _is_malformed() -> Column:
     return missing | unreadable
 
 
-def _strict_field(name: str) -> Column:
-    if name == "tag":
-        return F.col(name)
-    if name in _OPTIONAL:
-        return F.when(
-            F.col(f"_has_{name}"), required(F.col(name), F.col("_line"), "posting", STRICT)
-        )
-    return required(F.col(name), F.col("_line"), "posting", STRICT)
-
-
 def questions(postings: DataFrame) -> DataFrame:
     return postings.where(F.col("post_type") == QUESTION)
 
@@ -94,10 +85,10 @@ def question_answer_pairs(postings: DataFrame) -> DataFrame:
     a large share of all answers.
     """
     asked = questions(postings).select(
-        F.col("id").alias("qid"), F.col("tag"), F.col("score").alias("question_score")
+        F.col("id").cast("long").alias("qid"), F.col("tag"), F.col("score").alias("question_score")
     )
     given = answers(postings).select(
-        F.col("parent_id").alias("qid"),
+        F.col("parent_id").cast("long").alias("qid"),
         F.col("id").alias("answer_id"),
         F.col("score").alias("answer_score"),
     )
@@ -118,7 +109,7 @@ def answers_by_question(
         F.struct("answer_id", "answer_score"),
         "answers",
         max_rows,
-        sizes=group_sizes(answers(postings), ["parent_id"]),
+        sizes=group_sizes(answers(postings).select(F.col("parent_id").cast("long").alias("qid")), ["qid"]),
     )
 
 
@@ -166,13 +157,11 @@ def feature_vectors(
 
     Questions whose tag is unknown or missing are dropped; with ``strict`` they fail the job.
     """
-    lx = tag_position(F.col("tag"), vocabulary or DEFAULT_VOCABULARY)
-    if strict:
-        lx = required(lx, F.col("tag"), "tag", STRICT)
-    vectors = scored.select(
-        "qid", (lx * F.lit(spread)).alias("lx"), F.col("high_score").cast("int").alias("hs")
+    position = tag_position(F.col("tag"), vocabulary or DEFAULT_VOCABULARY)
+    known = all_sound(position.isNotNull(), F.col("tag"), "tag") if strict else position.isNotNull()
+    return scored.where(known).select(
+        "qid", (position * F.lit(spread)).alias("lx"), F.col("high_score").cast("int").alias("hs")
     )
-    return vectors if strict else vectors.where(F.col("lx").isNotNull())
 
 
 def unknown_tags(scored: DataFrame, vocabulary: list[str] | None = None) -> DataFrame:

@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions.text import jvm_split
 
-# Fixed value: the fields of a segmenter's reply.
-REPLY_SCHEMA = "ret INT, msg STRING, terms STRING"
-
 
 def space_tokens(text: Column) -> Column:
     """The default tokenizer; an empty record has no words."""
@@ -17,13 +14,20 @@ def space_tokens(text: Column) -> Column:
 
 
 def reply_tokens(reply: Column) -> Column:
-    """Distinct words of a JSON reply with ``ret`` 0; any other reply has none.
+    """Distinct words of a JSON reply with number ``ret`` 0 and texts ``msg`` and ``terms``; any other reply has none.
 
     A caller with a segmenting service passes this over its replies as the tokenizer.
     """
-    parsed = F.from_json(reply, REPLY_SCHEMA)
-    complete = (parsed["ret"] == 0) & parsed["msg"].isNotNull() & parsed["terms"].isNotNull()
-    return F.when(complete, F.array_distinct(jvm_split(parsed["terms"]))).otherwise(
+    parsed = F.try_parse_json(reply)
+
+    def kind(path: str) -> Column:
+        return F.schema_of_variant(F.try_variant_get(parsed, path, "variant"))
+
+    number = kind("$.ret").rlike("^(BIGINT|FLOAT|DOUBLE|DECIMAL.*)$")
+    texts = (kind("$.msg") == "STRING") & (kind("$.terms") == "STRING")
+    complete = number & texts & (F.try_variant_get(parsed, "$.ret", "double") == 0)
+    terms = F.try_variant_get(parsed, "$.terms", "string")
+    return F.when(complete, F.array_distinct(jvm_split(terms))).otherwise(
         F.array().cast("array<string>")
     )
 

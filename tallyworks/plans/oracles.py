@@ -22,12 +22,10 @@ def _tokens(text: str) -> str:
     return f"CASE WHEN rtrim({text}, ' ') = '' THEN [] ELSE string_split(rtrim({text}, ' '), ' ') END"
 
 
-def _between(text: str, opening: str, closing: str) -> str:
-    rest = f"substr({text}, instr({text}, '{opening}') + {len(opening)})"
-    return (
-        f"CASE WHEN instr({text}, '{opening}') > 0 AND instr({rest}, '{closing}') > 0 "
-        f"THEN substr({rest}, 1, instr({rest}, '{closing}') - 1) END"
-    )
+def _inside(html: str, tag: str) -> str:
+    opening = rf"(?is)<{tag}(?:\s[^>]*)?>"
+    return rf"""CASE WHEN regexp_matches({html}, '{opening}')
+        THEN regexp_extract({html}, '{opening}(.*?)(?:</{tag}\s*>|\z)', 1) END"""
 
 
 LINES = "lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)"
@@ -169,8 +167,8 @@ def oracle_sql() -> dict[str, str]:
             l_quantity::INT - 25, NULL FROM lineitem""",
         "parse_articles": """SELECT doc_id, concat('doc ', doc_id::VARCHAR) AS title, text
             FROM documents""",
-        "parse_pages": f"""SELECT page_id, {_between('html', '<title>', '</title>')} AS title,
-            {_between('html', '<body>', '</body>')} AS text FROM pages""",
+        "parse_pages": f"""SELECT page_id, {_inside('html', 'title')} AS title,
+            {_inside('html', 'body')} AS text FROM pages""",
         "encode_events": f"""WITH {CLICKS}
             SELECT event_id, user_id AS key,
             concat_ws(chr(9), (epoch_us(ts) // 1000)::VARCHAR, user_id, item::VARCHAR) AS value

@@ -51,9 +51,12 @@ class WordTable:
         return parts.groupBy("word", "date").agg(F.sum("n").alias("n"))
 
     def months(self) -> list[str]:
-        """Months with data; one entry per month of history."""
-        rows = self._deltas(None).select("month").distinct().orderBy("month").collect()
-        return [row["month"] for row in rows]
+        """Months with data, folded or not; one entry per month of history."""
+        folded = self._marks(None).select("month")
+        return self._listed(self._deltas(None).select("month").union(folded))
+
+    def _listed(self, months: DataFrame) -> list[str]:
+        return [row["month"] for row in months.distinct().orderBy("month").collect()]
 
     def compact(self, month: str) -> int:
         """Fold the deltas of ``month`` into a new base version, and return its number.
@@ -91,8 +94,8 @@ class WordTable:
         return version
 
     def compact_all(self) -> None:
-        """Compact every month, then remove the deltas that no reader needs any more."""
-        for month in self.months():
+        """Compact every month that has deltas, then remove those that no reader needs any more."""
+        for month in self._listed(self._deltas(None).select("month")):
             self.compact(month)
         self.remove_folded()
 

@@ -6,10 +6,10 @@ import logging
 import time
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyworks.operators.wordfreq import distinct_words
+from tallyworks.session import new_folder
 
 log = logging.getLogger(__name__)
 
@@ -41,9 +41,11 @@ def read_jdbc_dictionary(spark: SparkSession, options: dict[str, str]) -> DataFr
 class RenewingDictionary:
     """The dictionary as of the last successful load, at most ``max_age`` seconds old.
 
-    ``current`` is called at the start of a batch. The rows stay in Spark's
-    storage. If a load fails, the previous rows stay in use; the first load must
-    succeed.
+    ``current`` is called at the start of a batch. Each load is written to a
+    table of its own in the shared folder, so that it stays as it is when its
+    source changes or goes away. If a load fails, the previous rows stay in use;
+    the first load must succeed. The table before is kept for readers that are
+    under way, older ones are removed.
     """
 
     def __init__(
@@ -56,6 +58,7 @@ class RenewingDictionary:
         self._max_age = max_age
         self._clock = clock
         self._words: DataFrame | None = None
+        self._paths: list[str] = []
         self._loaded_at = 0.0
 
     def current(self) -> DataFrame:
@@ -65,22 +68,30 @@ class RenewingDictionary:
         return self._words
 
     def close(self) -> None:
-        """Give the rows' storage back."""
-        if self._words is not None:
-            self._words.unpersist()
-            self._words = None
+        """Remove the stored tables."""
+        self._keep(0)
+        self._words = None
 
     def _renew(self, now: float) -> None:
         try:
-            fresh = self._load().persist(StorageLevel.MEMORY_AND_DISK)
-            size = fresh.count()
+            fresh = self._load()
+            spark = fresh.sparkSession
+            path = new_folder(spark, "dictionary")
+            fresh.write.parquet(path)
+            stored = spark.read.schema(fresh.schema).parquet(path)
         except Exception:
             if self._words is None:
                 raise
             log.exception("dictionary not renewed, keeping the previous one")
         else:
-            if self._words is not None:
-                self._words.unpersist()
-            self._words = fresh
-            log.info("dictionary of %d words loaded", size)
+            self._words = stored
+            self._paths.append(path)
+            self._keep(2)
+            log.info("dictionary stored in %s", path)
         self._loaded_at = now
+
+    def _keep(self, newest: int) -> None:
+        while len(self._paths) > newest:
+            context = self._words.sparkSession.sparkContext
+            old = context._jvm.org.apache.hadoop.fs.Path(self._paths.pop(0))
+            old.getFileSystem(context._jsc.hadoopConfiguration()).delete(old, True)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyworks.functions.text import STRICT, char_pattern, check_mode, required
+from tallyworks.functions.text import STRICT, all_sound, char_pattern, check_mode
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -69,9 +69,10 @@ def read_survey(
     """Column names and rows of a CSV file with a header.
 
     Without a schema one is made from the header line alone; ``infer`` instead
-    reads the whole file once more to find the types.
+    reads the whole file once more to find the types. A later file whose header
+    differs, be it in order only, fails the job.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).option("enforceSchema", False)
     if infer:
         survey = reader.option("inferSchema", True).csv(path)
     else:
@@ -92,9 +93,12 @@ def survey_rows(
     """
     check_mode(mode)
     fields = F.split(F.col(line), char_pattern(separator))
-    columns = []
+    columns, sound = [], F.lit(True)
     for field in survey_schema(names):
         piece = F.get(fields, F.lit(len(columns)))
         value = piece if field.dataType == T.StringType() else piece.try_cast(field.dataType)
-        columns.append(required(value, F.col(line), "survey row", mode).alias(field.name))
+        columns.append(value.alias(field.name))
+        sound = sound & value.isNotNull()
+    if mode == STRICT:
+        lines = lines.where(all_sound(sound, F.col(line), "survey row"))
     return lines.select(*columns)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -89,6 +89,12 @@ def windowed_item_sets(
     )
 
 
+def _day_of(ts: Column) -> Column:
+    """The day in UTC, whatever zone the session has, so that writers and readers agree."""
+    days = F.floor(F.unix_micros(ts) / F.lit(86_400_000_000)).cast("int")
+    return F.date_format(F.date_from_unix_date(days), DAY_PARTITION)
+
+
 def start_click_table(
     clicks: DataFrame, path: str, checkpoint: str, every: str | None = CLICK_INTERVAL
 ) -> StreamingQuery:
@@ -97,7 +103,7 @@ def start_click_table(
     A window read from it touches only the days it covers; repeats fall away
     when the sets are built, so late and repeated clicks need no special care.
     """
-    dated = clicks.select("ts", "user_id", "item", F.date_format("ts", DAY_PARTITION).alias("day"))
+    dated = clicks.select("ts", "user_id", "item", _day_of(F.col("ts")).alias("day"))
     return start_table(dated, path, checkpoint, every, ["day"])
 
 
@@ -113,7 +119,7 @@ def read_click_table(
         if bound is None:
             continue
         at = F.lit(bound).cast("timestamp")
-        day = F.date_format(at, DAY_PARTITION)
+        day = _day_of(at)
         if is_start:
             clicks = clicks.where((F.col("day") >= day) & (F.col("ts") >= at))
         else:

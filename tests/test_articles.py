@@ -23,8 +23,8 @@ def test_pages_by_tags(spark):
     rows = [
         (1, "<html><title>T</title><body>one</body> two</body></html>"),
         (2, "<html><body>only text</body></html>"),
-        (3, "</title><title>late"),
+        (3, "</title><title>late"),  # no end tag: up to the end of the page
     ]
     df = spark.createDataFrame(rows, "page_id LONG, html STRING")
     got = {r["page_id"]: (r["title"], r["text"]) for r in parse_pages(df, "page_id").collect()}
-    assert got == {1: ("T", "one"), 2: (None, "only text"), 3: (None, None)}
+    assert got == {1: ("T", "one"), 2: (None, "only text"), 3: ("late", None)}

@@ -53,14 +53,14 @@ def test_mentions_whole_tokens_only(spark, value, term, expected):
     assert row[1] == ([term] if expected else [])
 
 
-def test_required_names_the_record(spark):
-    df = spark.createDataFrame([("bad",)], "v STRING")
-    value = F.col("v").try_cast("int")
-    assert df.select(text.required(value, F.col("v"), "number", "permissive")).first()[0] is None
-    with pytest.raises(PySparkException, match="bad number: bad"):
-        df.select(text.required(value, F.col("v"), "number", "strict")).collect()
+def test_unsound_records_fail_whatever_is_selected(spark):
+    df = spark.createDataFrame([("1", "x"), ("bad", "y")], "v STRING, other STRING")
+    checked = df.where(text.all_sound(F.col("v").try_cast("int").isNotNull(), F.col("v"), "number"))
+    for action in (checked.select("other").collect, checked.count):
+        with pytest.raises(PySparkException, match="bad number: bad"):
+            action()
     with pytest.raises(ValueError):
-        text.required(value, F.col("v"), "number", "lenient")
+        text.check_mode("lenient")
 
 
 def test_epoch_formats(spark):
