@@ -459,9 +459,10 @@ def stream_offset_ranges(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_word_frequency(spark: SparkSession, folder: str) -> DataFrame:
-    """Event types as words, counted per day of the event."""
+    """Event types as words, counted per day of the event; the dictionary leaves out the first one by name."""
     types = tables.table(spark, folder, "events").select(F.col("event_type").alias("word"))
-    dictionary = RenewingDictionary(lambda: wordfreq.distinct_words(types))
+    known = types.where(F.col("word") > types.agg(F.min("word")).scalar())
+    dictionary = RenewingDictionary(lambda: wordfreq.distinct_words(known))
     store = WordTable(spark, new_folder(spark, "word-table"))
     finish(
         start_word_frequency(
