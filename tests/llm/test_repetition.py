@@ -63,6 +63,39 @@ def test_verdict(docs_of):
     assert sorted(rows)[1].longest_repeat == 90
 
 
+def numbered(name, n):
+    return " ".join(f"{name}{i}" for i in range(n))
+
+
+# Words of the text, of a passage, and how often it stands there.
+@pytest.mark.parametrize(
+    ("n", "passage", "times"),
+    [(1000, 200, 2), (1000, 100, 2), (1000, 10, 20), (350, 10, 10), (350, 50, 2), (200, 20, 2), (150, 10, 4), (100, 10, 3), (60, 12, 2), (5000, 500, 2)],
+)
+def test_repetition_that_passes_the_base_is_rejected(docs_of, n, passage, times):
+    block = numbered("again", passage)
+    rest = numbered("word", n - passage * times).split()
+    apart = [rest[i::times] for i in range(times)]
+    texts = [" ".join([block, *part]) for part in apart], [" ".join([block] * times), *rest]
+    rows = repetition.repetition_rules(docs_of([" ".join(t) for t in texts])).collect()
+    for r in rows:
+        assert r.n_words == n and 0.2 * n <= r.covered_words <= 0.4 * n + 1
+        assert not r.base_failed and not r.kept
+
+
+@pytest.mark.parametrize(("n", "line"), [(64, 9), (90, 13), (130, 13), (500, 13), (5000, 13)])
+def test_a_line_at_head_and_foot_is_kept(docs_of, n, line):
+    block = numbered("again", line)
+    (row,) = repetition.repetition_rules(docs_of([f"{block} {numbered('word', n - 2 * line)} {block}"])).collect()
+    assert row.covered_words == 2 * line and row.kept
+
+
+def test_a_long_run_is_rejected_by_its_longest_repeat(docs_of):
+    text = f"{numbered('word', 900)} {' '.join([numbered('again', 10)] * 10)}"
+    (row,) = repetition.repetition_rules(docs_of([text])).collect()
+    assert (row.covered_words, row.longest_repeat, row.base_failed, row.kept) == (100, 90, False, False)
+
+
 def test_passing_keeps_all_columns(docs_of):
     prose = " ".join(f"word{i}" for i in range(60))
     docs = docs_of([prose, "short", None, prose], kept="no", spans=7)
