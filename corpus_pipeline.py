@@ -42,8 +42,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' token pieces and their places in sequences of at most 2048 tokens."""
-    return packing.pack_documents(docs, tokenizer_path())
+    """The documents' token pieces, with their ids and their places in sequences of at most 2048 tokens."""
+    return packing.pack_documents(docs, tokenizer_path(), with_ids=True)
 
 
 STAGES = [

@@ -170,7 +170,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with
                     "ids_crc32": pa.array(crc, pa.int64()),
                 }
                 if with_ids:
-                    columns["ids"] = pa.array([ids[a : a + n].astype(np.int32) for a, n in zip(at, length)], pa.list_(pa.int32()))
+                    bounds = np.append(at, len(ids)).astype(np.int32)  # pieces follow each other without gaps
+                    columns["ids"] = pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids.astype(np.int32)))
                 yield pa.RecordBatch.from_pydict(columns)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)

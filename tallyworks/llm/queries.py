@@ -61,7 +61,7 @@ def op7_circulant_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_suffix_pieces(spark: SparkSession, folder: str) -> DataFrame:
-    return suffixpieces.encode_documents(table(spark, folder, "documents"), tokenizer_path(PIECES), with_ids=False)
+    return suffixpieces.encode_documents(table(spark, folder, "documents"), tokenizer_path(PIECES), with_decoded=True)
 
 
 def op9_url_rules(spark: SparkSession, folder: str) -> DataFrame:

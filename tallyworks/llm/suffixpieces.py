@@ -265,13 +265,13 @@ def _encoder(path: str) -> TextEncoder:
     return _encoders.get(path) or _encoders.setdefault(path, TextEncoder(path))
 
 
-def encode_documents(docs: DataFrame, model: str, with_ids: bool = True) -> DataFrame:
-    """``doc_id, n_ids, ids_crc32, decoded_same`` (and ``ids``) of each row of ``docs(doc_id, text)``.
+def encode_documents(docs: DataFrame, model: str, with_ids: bool = True, with_decoded: bool = False) -> DataFrame:
+    """``doc_id, n_ids, ids_crc32, decoded_same`` (and ``ids``, and the text ``decoded`` from them) of each row of ``docs(doc_id, text)``.
 
     ``decoded_same``: decoding gives the text back, up to the model's own normalization. Null and empty texts have no ids.
     Repeated rows and null ids stay; other columns are not read; an empty table gives an empty result.
     """
-    schema = "doc_id long, n_ids long, ids_crc32 long, decoded_same boolean" + ", ids array<int>" * with_ids
+    schema = "doc_id long, n_ids long, ids_crc32 long, decoded_same boolean" + ", ids array<int>" * with_ids + ", decoded string" * with_decoded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # no cycles are made here, and looking for them in the stores takes long
@@ -281,16 +281,18 @@ def encode_documents(docs: DataFrame, model: str, with_ids: bool = True) -> Data
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 normal = list(map(encoder.vocabulary.model.normalize, texts))
                 found = encoder.encode_raw(normal)
+                decoded = list(map(encoder.decode_raw, found))
                 columns = {
                     "doc_id": part.column("doc_id"),
                     "n_ids": pa.array([len(x) // 4 for x in found], pa.int64()),
                     "ids_crc32": pa.array(map(zlib.crc32, found), pa.int64()),
-                    "decoded_same": pa.array(
-                        [encoder.decode_raw(x) == t.replace(SPACE, " ").removeprefix(" ") for x, t in zip(found, normal)]
-                    ),
+                    "decoded_same": pa.array([x == t.replace(SPACE, " ").removeprefix(" ") for x, t in zip(decoded, normal)]),
                 }
                 if with_ids:
-                    columns["ids"] = pa.array([np.frombuffer(x, "<i4") for x in found], pa.list_(pa.int32()))
+                    ends = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
+                    columns["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), "<i4")))
+                if with_decoded:
+                    columns["decoded"] = pa.array(decoded, pa.string())
                 yield pa.RecordBatch.from_pydict(columns)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)

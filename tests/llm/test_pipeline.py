@@ -1,5 +1,7 @@
 import random
 import re
+import struct
+import zlib
 
 import pytest
 from tokenizers import Tokenizer
@@ -58,6 +60,17 @@ def test_stages(spark, folder):
     assert sorted(map(key, whole.collect())) == sorted(map(key, pieces))
 
 
+def test_packed_pieces_carry_their_ids(spark, folder):
+    path, texts = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    rows = corpus_pipeline.STAGES[-1][1](spark, docs, path).collect()
+    assert {r.doc_id for r in rows} == set(range(len(texts)))
+    for r in rows:
+        assert r.ids == [*tokenizer.encode(texts[r.doc_id] or "", add_special_tokens=False).ids, 0]
+        assert r.ids_crc32 == zlib.crc32(struct.pack(f"<{len(r.ids)}I", *r.ids))
+
+
 def test_stage_list():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "quality_classifier", "near_duplicates", "secret_scan", "best_fit_packing"]
     assert re.search("def run", open(corpus_pipeline.__file__).read())

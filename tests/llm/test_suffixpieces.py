@@ -5,7 +5,7 @@ import pytest
 import sentencepiece
 
 from tallyworks.llm import suffixpieces as sp
-from tallyworks.llm.queries import PIECES, tokenizer_path
+from tallyworks.llm.queries import PIECES, queries, tokenizer_path
 
 from .conftest import ODD_TEXTS
 
@@ -52,3 +52,13 @@ def test_round_trip_in_spark(docs_of, library):
     back = {r.doc_id: r.text for r in sp.decode_documents(encoded, tokenizer_path(PIECES)).collect()}
     assert all(back[i] == (t or "").replace("▁", " ") for i, t in enumerate(given))
     assert sp.encode_documents(docs_of([]), tokenizer_path(PIECES)).collect() == []
+
+
+def test_the_query_gives_ids_and_decoded_texts(spark, docs_of, library, tmp_path):
+    given = ODD_TEXTS + texts(30)
+    docs_of(given).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = queries()["op8_suffix_pieces"](spark, str(tmp_path)).collect()
+    assert len(rows) == len(given)
+    for r in rows:
+        assert r.ids == library.encode(given[r.doc_id] or "")
+        assert r.decoded == library.decode(r.ids) and r.decoded_same
