@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions.text import STRICT, all_sound, char_pattern, check_mode
-from tallyworks.operators.grouping import MAX_ROWS_PER_PIECE, collect_in_pieces
+from tallyworks.operators.grouping import PIECE_WIDTH, collect_by_range
+from tallyworks.operators.panes import item_panes, single_windows, window_runs
 
 # The layout of a click record.
 SEPARATOR = "\t"
@@ -91,39 +92,37 @@ def user_items(clicks: DataFrame) -> DataFrame:
     return clicks.select("user_id", "item").distinct()
 
 
-def user_item_sets(clicks: DataFrame, max_rows: int = MAX_ROWS_PER_PIECE) -> DataFrame:
-    """All items of each user as sorted arrays: ``user_id, piece, items``."""
-    return collect_in_pieces(
-        user_items(clicks), ["user_id"], F.col("item"), "items", max_rows
-    )
+def user_item_sets(clicks: DataFrame, width: int = PIECE_WIDTH) -> DataFrame:
+    """All items of each user as sorted arrays: ``user_id, piece, items``, a piece for each ``width`` item numbers."""
+    return collect_by_range(clicks, ["user_id"], "item", "items", width=width, distinct=True)
+
+
+def user_item_runs(
+    clicks: DataFrame, window: str = WINDOW, slide: str = SLIDE, width: int = PIECE_WIDTH
+) -> DataFrame:
+    """Every sliding window of each user, windows of equal content together: ``user_id, piece, first_start, last_start, clicks``.
+
+    Put together from panes (see ``panes``), so a fine slide does not multiply the clicks.
+    """
+    return window_runs(item_panes(clicks, slide, width), window, slide)
 
 
 def user_item_windows(
-    clicks: DataFrame,
-    window: str = WINDOW,
-    slide: str = SLIDE,
-    max_rows: int = MAX_ROWS_PER_PIECE,
+    clicks: DataFrame, window: str = WINDOW, slide: str = SLIDE, width: int = PIECE_WIDTH
 ) -> DataFrame:
     """Every sliding window of each user: ``user_id, window_start, piece, clicks``.
 
-    Each click lies in ``window / slide`` windows, so a history with a fine slide
-    grows by that factor; ``user_item_window_at`` gives one window without growth.
+    The result holds each click ``window / slide`` times, as it asks for every
+    window; ``user_item_runs`` says the same in fewer rows, and ``user_item_window_at`` gives one window.
     """
-    placed = (
-        clicks.select("user_id", "ts", "item")
-        .distinct()
-        .select("user_id", F.window("ts", window, slide)["start"].alias("window_start"), "ts", "item")
-    )
-    return collect_in_pieces(
-        placed, ["user_id", "window_start"], F.struct("ts", "item"), "clicks", max_rows
-    )
+    return single_windows(user_item_runs(clicks, window, slide, width), slide)
 
 
 def user_item_window_at(
     clicks: DataFrame,
     end: datetime | None,
     window: str = WINDOW,
-    max_rows: int = MAX_ROWS_PER_PIECE,
+    width: int = PIECE_WIDTH,
 ) -> DataFrame:
     """The one window ending before ``end``: ``user_id, piece, clicks``.
 
@@ -132,12 +131,10 @@ def user_item_window_at(
     """
     upper = F.lit(end).cast("timestamp")
     lower = upper - F.expr(f"INTERVAL {window}")
-    inside = (
-        clicks.where((F.col("ts") >= lower) & (F.col("ts") < upper))
-        .select("user_id", "ts", "item")
-        .distinct()
+    inside = clicks.where((F.col("ts") >= lower) & (F.col("ts") < upper))
+    return collect_by_range(
+        inside, ["user_id"], "item", "clicks", F.struct("ts", "item"), width, distinct=True
     )
-    return collect_in_pieces(inside, ["user_id"], F.struct("ts", "item"), "clicks", max_rows)
 
 
 def newest_window_end(clicks: DataFrame, slide: str = SLIDE) -> datetime | None:

@@ -16,8 +16,6 @@ DEFAULT_CLUSTERS = 45
 DEFAULT_ETA = 20.0
 DEFAULT_MAX_ROUNDS = 120
 
-FEW_POINTS = 1_000_000
-
 # The layout of the printed report.
 REPORT_HEADER = (
     "Resulting clusters:",
@@ -49,11 +47,6 @@ def stored_points(vectors: DataFrame) -> DataFrame:
     return materialize(weighted_points(vectors), "points")
 
 
-def has_few_rows(points: DataFrame) -> bool:
-    """Whether a pass over stored points costs less than compiling an expression for it."""
-    return points.count() <= FEW_POINTS
-
-
 def assign_clusters(
     vectors: DataFrame, centers: list[Center], compiled: bool = True
 ) -> DataFrame:
@@ -108,14 +101,14 @@ def fit_centers(
 
     Takes vectors or ``stored_points``. The rounds read the stored points, so
     neither the parsing nor the question-answer shuffle is ever repeated, also
-    not after a lost executor.
+    not after a lost executor. Distinct points are few, so the distances of a
+    round are taken in a loop rather than compiled for its centers.
     """
     points = stored_points(vectors)
-    compiled = not has_few_rows(points)
     centers = [(int(x), int(y)) for x, y in start]
     rounds, movement = 0, float("inf")
     while rounds < max_rounds and not movement < eta:
-        moved = move_centers(points, centers, compiled)
+        moved = move_centers(points, centers, compiled=False)
         movement = total_movement(centers, moved)
         centers = moved
         rounds += 1
@@ -138,7 +131,7 @@ def cluster_summary(
     then index. Of equally common tags the first of the vocabulary is taken.
     """
     stored = stored_points(vectors)
-    points = assign_clusters(stored, centers, compiled=not has_few_rows(stored))
+    points = assign_clusters(stored, centers, compiled=False)
     sizes = (
         points.groupBy("ci", "lx")
         .agg(F.sum("n").alias("n"))

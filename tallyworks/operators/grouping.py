@@ -5,86 +5,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_ROWS_PER_PIECE = 100_000
-MAX_LARGE_GROUPS = 1_000_000
+# Numbers that one piece of a group covers.
+PIECE_WIDTH = 100_000
 
 
-def piece_of(element: Column, pieces: Column) -> Column:
-    """The piece of its group that ``element`` falls into, by its hash."""
-    return F.pmod(F.xxhash64(element), pieces).cast("int")
+def range_piece(number: Column, width: int = PIECE_WIDTH) -> Column:
+    """Which range of ``width`` consecutive numbers ``number`` lies in, rounded down."""
+    wide = number.cast("long")
+    return F.call_function("div", wide - F.pmod(wide, F.lit(width).cast("long")), F.lit(width).cast("long"))
 
 
-def group_sizes(rows: DataFrame, keys: list[str], amount: str | None = None) -> DataFrame:
-    """``_group, _rows``: the size of each group under a hash of its key.
-
-    ``amount`` names a column of counts where the rows are counted already.
-    """
-    size = F.count("*") if amount is None else F.sum(amount)
-    return rows.groupBy(F.xxhash64(*keys).alias("_group")).agg(size.alias("_rows"))
-
-
-def place_in_pieces(
+def collect_by_range(
     rows: DataFrame,
     keys: list[str],
-    element: Column,
-    max_rows: int = MAX_ROWS_PER_PIECE,
-    sizes: DataFrame | None = None,
-) -> DataFrame:
-    """``rows`` with a column ``piece``, so that each key and piece is a group of bounded size.
-
-    Groups of up to ``max_rows`` rows have piece 0 only. Larger ones are spread by
-    a hash of their elements. ``sizes`` (see ``group_sizes``) may be given where
-    it is cheaper to have; by default the rows are counted with map-side combine.
-
-    The rows stay where they are and look their group up in a broadcast table of
-    the large groups. Its size is bounded: above ``MAX_LARGE_GROUPS * max_rows``
-    rows the limit grows with the total, and fewer than ``MAX_LARGE_GROUPS``
-    groups can hold more than that share of all rows each. Groups are named by a
-    64-bit hash, so an entry has 12 bytes; should a small group share the hash of
-    a large one, it comes in more pieces than it needs.
-    """
-    if sizes is None:
-        sizes = group_sizes(rows, keys)
-    share = sizes.agg(F.ceil(F.sum("_rows") / F.lit(MAX_LARGE_GROUPS))).scalar()
-    limit = F.greatest(F.lit(max_rows).cast("long"), share)
-    large = sizes.where(F.col("_rows") > limit).select(
-        F.col("_group").alias("_large"),
-        F.ceil(F.col("_rows") / F.lit(max_rows)).cast("int").alias("_pieces"),
-    )
-    return (
-        rows.withColumn("_group", F.xxhash64(*keys))
-        .join(F.broadcast(large), F.col("_group") == F.col("_large"), "left")
-        .withColumn("piece", F.coalesce(piece_of(element, F.col("_pieces")), F.lit(0)))
-        .drop("_group", "_large", "_pieces")
-    )
-
-
-def collect_in_pieces(
-    rows: DataFrame,
-    keys: list[str],
-    element: Column,
+    number: str,
     name: str,
-    max_rows: int = MAX_ROWS_PER_PIECE,
-    sizes: DataFrame | None = None,
+    element: Column | None = None,
+    width: int = PIECE_WIDTH,
+    distinct: bool = False,
 ) -> DataFrame:
-    """Sorted arrays of ``element`` per key and piece; see ``place_in_pieces``."""
-    placed = place_in_pieces(rows, keys, element, max_rows, sizes)
-    return gather(placed, [*keys, "piece"], element, name)
+    """Sorted arrays of ``element`` per key and range of ``number``: ``*keys, piece, name``.
 
-
-def gather(rows: DataFrame, keys: list[str], element: Column, name: str) -> DataFrame:
-    """Sorted arrays of ``element`` per key, for keys of bounded groups.
-
-    The rows are dealt out by all the keys first. Otherwise Spark would leave
-    rows that are already partitioned by some of the keys as they are, and all
-    pieces of a hot group with them in one task.
+    The piece depends on the number alone, not on how many rows a key has, so no
+    sizes are needed first: one scan and one shuffle, by key and piece. A hot
+    key is as many groups as its numbers have ranges, and a group holds no more
+    than ``width`` distinct numbers. Where rows are already partitioned by some
+    of the keys, collect before joining them with anything else.
     """
-    return (
-        rows.select(*keys, element.alias("_element"))
-        .repartition(*keys)
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list("_element")).alias(name))
-    )
+    collect = F.collect_set if distinct else F.collect_list
+    element = F.col(number) if element is None else element
+    piece = range_piece(F.col(number), width).alias("piece")
+    return rows.groupBy(*keys, piece).agg(F.sort_array(collect(element)).alias(name))
 
 
 def integer_median(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions.text import STRICT, all_sound, check_mode
-from tallyworks.operators.grouping import MAX_ROWS_PER_PIECE, collect_in_pieces, group_sizes
+from tallyworks.operators.grouping import PIECE_WIDTH, collect_by_range
 from tallyworks.operators.ranking import DEFAULT_TERMS
 
 # The type codes of the postings.
@@ -95,22 +95,22 @@ def question_answer_pairs(postings: DataFrame) -> DataFrame:
     return asked.join(given, "qid")
 
 
-def answers_by_question(
-    postings: DataFrame, max_rows: int = MAX_ROWS_PER_PIECE
-) -> DataFrame:
-    """Answers grouped per question: ``qid, piece, answers`` with bounded arrays.
+def answers_by_question(postings: DataFrame, width: int = PIECE_WIDTH) -> DataFrame:
+    """Answers grouped per question: ``qid, piece, answers``, a piece for each ``width`` consecutive answer ids.
 
-    The sizes come from counts of the answers, as the joined pairs are already
-    partitioned by question and could not be counted without a hot partition.
+    Answers are collected first, by question and piece, and their arrays then meet
+    the questions. The other way round the pairs would be partitioned by
+    question already, and all pieces of a hot one would lie in one task.
     """
-    return collect_in_pieces(
-        question_answer_pairs(postings),
-        ["qid"],
-        F.struct("answer_id", "answer_score"),
-        "answers",
-        max_rows,
-        sizes=group_sizes(answers(postings).select(F.col("parent_id").cast("long").alias("qid")), ["qid"]),
+    given = answers(postings).select(
+        F.col("parent_id").cast("long").alias("qid"),
+        F.col("id").alias("answer_id"),
+        F.col("score").alias("answer_score"),
     )
+    element = F.struct("answer_id", "answer_score")
+    lists = collect_by_range(given, ["qid"], "answer_id", "answers", element, width)
+    asked = questions(postings).select(F.col("id").cast("long").alias("qid"))
+    return lists.join(asked, "qid", "left_semi")
 
 
 def answer_counts(postings: DataFrame) -> DataFrame:

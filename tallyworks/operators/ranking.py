@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions.text import mentioned_terms, mentions, unique_terms
-from tallyworks.operators.grouping import MAX_ROWS_PER_PIECE, collect_in_pieces
+from tallyworks.operators.grouping import PIECE_WIDTH, collect_by_range
 
 # The programming languages ranked by default.
 DEFAULT_TERMS = [
@@ -63,10 +63,10 @@ def term_index(
 
 
 def postings_by_term(
-    index: DataFrame, doc_id: str = "doc_id", max_rows: int = MAX_ROWS_PER_PIECE
+    index: DataFrame, doc_id: str = "doc_id", width: int = PIECE_WIDTH
 ) -> DataFrame:
-    """The index as arrays: ``term, piece, doc_ids``; long lists take several pieces."""
-    return collect_in_pieces(index, ["term"], F.col(doc_id), "doc_ids", max_rows)
+    """The index as arrays: ``term, piece, doc_ids``, a piece for each ``width`` consecutive ids."""
+    return collect_by_range(index, ["term"], doc_id, "doc_ids", width=width)
 
 
 def rank_from_index(index: DataFrame) -> DataFrame:

@@ -48,13 +48,11 @@ def dictionary_hits(
     """One row per record and dictionary word in it, each word at most once per record.
 
     Spark broadcasts the dictionary where its size allows. Otherwise it joins by
-    word and splits frequent words, which AQE does only if both sides come
-    straight from a shuffle: the hint keeps the words' own grouping from being
-    taken for the join's.
+    word, and AQE splits frequent words if the dictionary is a stored table, as those of
+    ``sources.dictionary`` are: words that come out of an aggregate are grouped already and can't be split.
     """
     found = words_in_records(records, *keep, tokens=tokens)
-    words = dictionary.hint("rebalance")
-    return found.join(words, "word", "left_semi").select(*found.columns)
+    return found.join(dictionary, "word", "left_semi").select(*found.columns)
 
 
 def dictionary_counts(

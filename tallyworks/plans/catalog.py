@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,10 +29,13 @@ from tallyworks.operators import (
 from tallyworks.operators.grouping import integer_median
 from tallyworks.plans import tables
 from tallyworks.session import materialize, new_folder
+from tallyworks.sinks.files import save_as_text
 from tallyworks.sinks.wordtable import WordTable
-from tallyworks.sources.dictionary import RenewingDictionary
+from tallyworks.sources.dictionary import DictionaryVersions, RenewingDictionary
+from tallyworks.sources.files import read_lines, read_survey, survey_rows
 from tallyworks.sources.topics import record_tail
 from tallyworks.streaming import clicks as click_streams
+from tallyworks.streaming.recovery import interrupted_after, run_through
 from tallyworks.streaming.runtime import finish
 from tallyworks.streaming.wordfreq import start_word_frequency
 
@@ -66,6 +70,20 @@ def word_count(spark: SparkSession, folder: str) -> DataFrame:
     return counting.word_count(tables.document_lines(spark, folder))
 
 
+@query
+def word_count_from_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines written to text files and read back, then counted; the counts are written and read as text, too."""
+    path = new_folder(spark, "lines")
+    tables.document_lines(spark, folder).write.option("lineSep", "\n").text(path)
+    counted = counting.word_count(read_lines(spark, path, line_separator="\n"), "value")
+    totals = new_folder(spark, "counts")
+    save_as_text(counted.select("n", F.hex("word").alias("word")), totals, files=1)
+    fields = F.split(F.regexp_extract("value", r"^\((.*)\)$", 1), ",")
+    return read_lines(spark, totals).select(
+        F.unhex(F.get(fields, F.lit(1))).cast("string").alias("word"), F.get(fields, F.lit(0)).cast("long").alias("n")
+    )
+
+
 @query
 def tokenize_lines(spark: SparkSession, folder: str) -> DataFrame:
     return counting.words_of(tables.document_lines(spark, folder, "doc_id"), "doc_id")
@@ -161,7 +179,7 @@ def _stored_index(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def term_postings(spark: SparkSession, folder: str) -> DataFrame:
-    lists = ranking.postings_by_term(_stored_index(spark, folder))
+    lists = ranking.postings_by_term(_stored_index(spark, folder), width=tables.DOCUMENT_RANGE)
     return lists.select("term", "piece", F.array_join("doc_ids", ",").alias("doc_ids"))
 
 
@@ -207,6 +225,30 @@ def time_use_grouped_typed(spark: SparkSession, folder: str) -> DataFrame:
     return timeuse.time_use_grouped_typed(_summary(spark, folder))
 
 
+@query
+def time_use_from_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The wide survey written as CSV files with a header and read back by it."""
+    path = new_folder(spark, "survey")
+    tables.wide_survey(spark, folder).write.option("header", True).csv(path)
+    names, survey = read_survey(spark, path)
+    summary = timeuse.time_use_summary(survey, *timeuse.classify_columns(names), "case_id")
+    hours = [F.round(name, 6).alias(name) for name in timeuse.HOUR_COLUMNS]
+    return summary.select("case_id", *timeuse.GROUP_COLUMNS, *hours)
+
+
+@query
+def time_use_from_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from separated lines without a header, of which every tenth case has lost its last field: averages of the sound ones."""
+    path, wide = new_folder(spark, "survey"), tables.wide_survey(spark, folder)
+    wide.write.csv(path)
+    cut = F.split_part("value", F.lit(","), F.lit(1)).cast("long") % 10 == 0
+    shorter = F.regexp_replace("value", ",[^,]*$", "")
+    lines = read_lines(spark, path).select(F.when(cut, shorter).otherwise(F.col("value")).alias("value"))
+    survey = survey_rows(lines, wide.columns, mode="permissive")
+    sound = survey.where(F.col(wide.columns[-1]).isNotNull())
+    return timeuse.time_use_grouped(timeuse.time_use_summary(sound, *timeuse.classify_columns(wide.columns)))
+
+
 # --- questions and answers
 
 
@@ -222,7 +264,7 @@ def qa_grouped(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def qa_answer_lists(spark: SparkSession, folder: str) -> DataFrame:
-    lists = qa.answers_by_question(tables.postings(spark, folder))
+    lists = qa.answers_by_question(tables.postings(spark, folder), tables.ANSWER_RANGE)
     scores = F.transform("answers", lambda a: a["answer_score"].cast("string"))
     return lists.select(
         "qid", "piece", F.array_join(F.array_sort(scores), ",").alias("scores")
@@ -296,7 +338,7 @@ def cluster_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _fitted_summary(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = _vectors(spark, folder)
+    vectors = materialize(_vectors(spark, folder), "vectors")  # sampled, then gathered to points
     start = sampling.sample_centers(vectors, 15, tables.VOCABULARY, tables.SPREAD)
     points = clustering.stored_points(vectors)
     fit = clustering.fit_centers(points, start)
@@ -329,7 +371,7 @@ def dictionary_words(spark: SparkSession, folder: str) -> DataFrame:
 def dictionary_hits(spark: SparkSession, folder: str) -> DataFrame:
     return wordfreq.dictionary_hits(
         tables.documents(spark, folder),
-        tables.dictionary(spark, folder),
+        materialize(tables.dictionary(spark, folder), "dictionary"),
         "doc_id",
         tokens=wordfreq.space_tokens(F.col("text")),
     )
@@ -360,6 +402,26 @@ def word_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return _as_text_days(store.counts())
 
 
+@query
+def word_table_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """Events in batches, over two months; the table is compacted after the second and the fourth write."""
+    store = WordTable(spark, new_folder(spark, "word-table"))
+
+    def add(number: int) -> None:
+        days = F.date_add(F.to_date("ts"), (F.col("user_id") % 2 * 31).cast("int"))
+        events = tables.event_batch(spark, folder, number)
+        counts = counting.count_by(events.select(F.col("event_type").alias("word"), days.alias("date")), "word", "date")
+        store.add_batch(counts, "types", number)
+
+    add(0)
+    add(1)
+    store.compact_all()
+    add(2)
+    add(2)
+    store.compact("202401")
+    return _as_text_days(store.counts())
+
+
 def _as_text_days(counts: DataFrame) -> DataFrame:
     return counts.select("word", F.col("date").cast("string").alias("date"), "n")
 
@@ -385,7 +447,7 @@ def _set_text(sets: DataFrame) -> DataFrame:
 
 @query
 def user_item_sets(spark: SparkSession, folder: str) -> DataFrame:
-    return _set_text(clicks.user_item_sets(tables.clicks(spark, folder)))
+    return _set_text(clicks.user_item_sets(tables.clicks(spark, folder), tables.ITEM_RANGE))
 
 
 def _window_text(windows: DataFrame) -> DataFrame:
@@ -400,18 +462,30 @@ def _window_text(windows: DataFrame) -> DataFrame:
 
 @query
 def user_item_windows(spark: SparkSession, folder: str) -> DataFrame:
-    windows = clicks.user_item_windows(tables.clicks(spark, folder), "1 day", "6 hours")
+    windows = clicks.user_item_windows(tables.clicks(spark, folder), "1 day", "6 hours", tables.ITEM_RANGE)
     return _window_text(windows).withColumn(
         "window_start", F.unix_seconds("window_start")
     )
 
 
+def _run_text(runs: DataFrame) -> DataFrame:
+    return _window_text(runs).withColumns(
+        {name: F.unix_seconds(name) for name in ("first_start", "last_start")}
+    )
+
+
+@query
+def user_item_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows of an hour every 30 seconds."""
+    return _run_text(clicks.user_item_runs(tables.clicks(spark, folder), width=tables.ITEM_RANGE))
+
+
 @query
 def user_item_window_at(spark: SparkSession, folder: str) -> DataFrame:
     """The newest day-long window."""
     history = tables.clicks(spark, folder)
     end = clicks.newest_window_end(history, "6 hours")
-    return _window_text(clicks.user_item_window_at(history, end, "1 DAY"))
+    return _window_text(clicks.user_item_window_at(history, end, "1 DAY", tables.ITEM_RANGE))
 
 
 # --- the same through Structured Streaming
@@ -425,7 +499,7 @@ def stream_user_item_sets(spark: SparkSession, folder: str) -> DataFrame:
             tables.click_stream(spark, folder), path, checkpoint, every=None
         )
     )
-    return _set_text(click_streams.read_user_item_sets(spark, path))
+    return _set_text(click_streams.read_user_item_sets(spark, path, tables.ITEM_RANGE))
 
 
 @query
@@ -438,7 +512,7 @@ def stream_item_window_at(spark: SparkSession, folder: str) -> DataFrame:
     )
     end = clicks.newest_window_end(click_streams.read_click_table(spark, path), "6 hours")
     stored = click_streams.read_click_table(spark, path, end - timedelta(days=1), end)
-    return _window_text(clicks.user_item_window_at(stored, end, "1 DAY"))
+    return _window_text(clicks.user_item_window_at(stored, end, "1 DAY", tables.ITEM_RANGE))
 
 
 @query
@@ -477,3 +551,96 @@ def stream_word_frequency(spark: SparkSession, folder: str) -> DataFrame:
     )
     dictionary.close()
     return _as_text_days(store.counts())
+
+
+# --- streams of several batches
+
+
+@query
+def stream_item_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows of an hour every 30 seconds, from the panes that three batches have closed."""
+    arrivals = tables.Arrivals(spark, folder)
+    path, checkpoint = new_folder(spark, "panes"), new_folder(spark, "checkpoint")
+    for number in range(tables.BATCHES):
+        arrivals.add(number)
+        finish(
+            click_streams.start_item_panes(
+                arrivals.clicks(), path, checkpoint, "10 minutes", width=tables.ITEM_RANGE, every=None
+            )
+        )
+    return _run_text(click_streams.read_item_runs(spark, path))
+
+
+@query
+def stream_item_visits(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs that live for two days without a click, over three batches: they expire and come back."""
+    arrivals = tables.Arrivals(spark, folder)
+    path, checkpoint = new_folder(spark, "visits"), new_folder(spark, "checkpoint")
+    for number in range(tables.BATCHES):
+        arrivals.add(number)
+        finish(
+            click_streams.start_item_visits(
+                arrivals.clicks(), path, checkpoint, "2 days", "10 minutes", every=None
+            )
+        )
+    times = {name: F.unix_micros(name) for name in ("first_seen", "last_seen", "expires")}
+    return spark.read.parquet(path).withColumns(times)
+
+
+@query
+def stream_replayed_offsets(spark: SparkSession, folder: str) -> DataFrame:
+    """A ledger of offsets over three batches, of which the second fails after its output and is replayed."""
+    arrivals = tables.Arrivals(spark, folder)
+    path, checkpoint = new_folder(spark, "offsets"), new_folder(spark, "checkpoint")
+    fault = interrupted_after(1)
+    for number in range(tables.BATCHES):
+        arrivals.add(number)
+        run_through(
+            lambda: click_streams.start_offset_report(
+                arrivals.dense_records(), path, checkpoint, every=None, wrap=fault
+            )
+        )
+    return click_streams.offset_ledger(click_streams.read_offset_report(spark, path))
+
+
+@query
+def stream_dictionary_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Event types counted against the dictionary of their batch.
+
+    The first batch knows all types but the first by name, the second all but the last, the third the
+    first alone. The second batch fails after its output, the third dictionary is
+    published, and the replayed batch still counts against its own.
+    """
+    types = tables.table(spark, folder, "events").select(F.col("event_type").alias("word"))
+    ends = types.agg(F.min("word").alias("first"), F.max("word").alias("last")).first()
+    first, last = (F.col("word") == F.lit(ends[name]) for name in ("first", "last"))
+    versions = DictionaryVersions(spark, new_folder(spark, "dictionaries"))
+    store = WordTable(spark, new_folder(spark, "word-table"))
+    arrivals, checkpoint = tables.Arrivals(spark, folder), new_folder(spark, "checkpoint")
+    fault = interrupted_after(1)
+
+    def start():
+        return start_word_frequency(
+            arrivals.records(),
+            versions,
+            store,
+            "event-types",
+            checkpoint,
+            date=F.to_date("timestamp"),
+            every=None,
+            wrap=fault,
+        )
+
+    versions.publish(types.where(~first))
+    arrivals.add(0)
+    run_through(start)
+    versions.publish(types.where(~last))
+    arrivals.add(1)
+    try:
+        run_through(start, restarts=0)
+    except StreamingQueryException:
+        versions.publish(types.where(first))
+    run_through(start)
+    arrivals.add(2)
+    run_through(start)
+    return _as_text_days(store.counts())

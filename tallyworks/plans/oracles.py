@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from tallyworks.plans.tables import SPREAD, TERMS, VOCABULARY, start_centers
+from tallyworks.operators.timeuse import OTHER_PREFIXES, PRIMARY_PREFIXES, WORK_PREFIXES
+from tallyworks.plans.tables import (
+    ANSWER_RANGE,
+    BATCHES,
+    DOCUMENT_RANGE,
+    ITEM_RANGE,
+    SPREAD,
+    TERMS,
+    VOCABULARY,
+    WIDE_ACTIVITIES,
+    start_centers,
+)
 
 
 def _list(values: list[str]) -> str:
@@ -137,12 +148,58 @@ NEWEST_WINDOW = f"""WITH {CLICKS},
         + INTERVAL '6 hours' AS stop FROM clicks),
     inside AS (SELECT DISTINCT user_id, ts, item FROM clicks, newest
         WHERE ts >= stop - INTERVAL '1 day' AND ts < stop)
-    SELECT user_id, 0 AS piece, {WINDOW_LIST} AS clicks FROM inside GROUP BY user_id"""
+    SELECT user_id, item // {ITEM_RANGE} AS piece, {WINDOW_LIST} AS clicks FROM inside GROUP BY 1, 2"""
 
 ITEM_SETS = f"""WITH {CLICKS},
     pairs AS (SELECT DISTINCT user_id, item FROM clicks)
-    SELECT user_id, 0 AS piece, string_agg(item::VARCHAR, ',' ORDER BY item) AS items
-    FROM pairs GROUP BY user_id"""
+    SELECT user_id, item // {ITEM_RANGE} AS piece, string_agg(item::VARCHAR, ',' ORDER BY item) AS items
+    FROM pairs GROUP BY 1, 2"""
+
+BATCH = f"(event_id * {BATCHES} // (SELECT max(event_id) + 1 FROM events))::INT"
+
+
+def _runs(closed: str) -> str:
+    """Runs of equal windows of an hour every 30 seconds: cut where a pane of 30 seconds comes in or falls out, and each hour."""
+    return f"""WITH {CLICKS},
+    held AS (SELECT * FROM (SELECT DISTINCT user_id, item // {ITEM_RANGE} AS piece, ts, item,
+        epoch_us(ts) // 30000000 AS step FROM clicks) {closed}),
+    steps AS (SELECT DISTINCT user_id, piece, step FROM held),
+    cuts AS (SELECT DISTINCT user_id, piece,
+        unnest([step - 119, step + 1, step // 120 * 120, (step - 119) // 120 * 120]) AS first FROM steps),
+    runs AS (SELECT *, least(lead(first) OVER (PARTITION BY user_id, piece ORDER BY first),
+        (first // 120 + 1) * 120) - 1 AS last FROM cuts)
+    SELECT r.user_id, r.piece, r.first * 30 AS first_start, r.last * 30 AS last_start, {WINDOW_LIST} AS clicks
+    FROM runs r JOIN held h ON h.user_id = r.user_id AND h.piece = r.piece
+        AND h.step BETWEEN r.first AND r.first + 119
+    GROUP BY 1, 2, 3, 4"""
+
+
+VISITS = f"""WITH {CLICKS},
+    opened AS (SELECT *, coalesce(ts - lag(ts) OVER w >= INTERVAL '2 days', true)::INT AS opens FROM clicks
+        WINDOW w AS (PARTITION BY user_id, item ORDER BY ts)),
+    numbered AS (SELECT *, sum(opens) OVER (PARTITION BY user_id, item ORDER BY ts) AS visit FROM opened)
+    SELECT user_id, item, epoch_us(min(ts)) AS first_seen, epoch_us(max(ts)) AS last_seen,
+        epoch_us(max(ts) + INTERVAL '2 days') AS expires, count(*) AS n
+    FROM numbered GROUP BY user_id, item, visit
+    HAVING max(ts) + INTERVAL '2 days' <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL '10 minutes'"""
+
+
+def _wide_hours(prefixes: tuple[str, ...], first: int) -> str:
+    """Hours of one class of the wide survey: its activities add up over a range of their numbers."""
+    numbers = [7 * i + j for i in range(first, first + len(prefixes)) for j in range(WIDE_ACTIVITIES)]
+    return f"list_sum(list_transform({numbers}, lambda m: ((o_custkey + m) % 90)::DOUBLE)) / 60"
+
+
+WIDE = f"""wide AS (
+    SELECT o_orderkey AS case_id,
+        CASE WHEN o_orderkey % 7 < 2 THEN 'working' ELSE 'not working' END AS working,
+        CASE WHEN o_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex,
+        CASE WHEN o_custkey % 60 + 15 BETWEEN 15 AND 22 THEN 'young'
+             WHEN o_custkey % 60 + 15 BETWEEN 23 AND 55 THEN 'active' ELSE 'elder' END AS age,
+        {_wide_hours(PRIMARY_PREFIXES, 0)} AS primaryNeeds,
+        {_wide_hours(WORK_PREFIXES, len(PRIMARY_PREFIXES))} AS work,
+        {_wide_hours(OTHER_PREFIXES, len(PRIMARY_PREFIXES) + len(WORK_PREFIXES))} AS other
+    FROM orders WHERE o_orderkey % 7 <= 3)"""
 
 OFFSETS = """SELECT 'events' AS topic, (user_id % 3)::INT AS partition, min(event_id) AS from_offset,
     max(event_id) + 1 AS until_offset, count(*) AS n FROM events GROUP BY 1, 2"""
@@ -153,6 +210,9 @@ def oracle_sql() -> dict[str, str]:
         "word_count": f"""WITH {LINES}
             SELECT word, count(*) AS n
             FROM (SELECT unnest({_split('line')}) AS word FROM lines) GROUP BY word""",
+        "word_count_from_text": f"""WITH {LINES}
+            SELECT word, count(*) AS n
+            FROM (SELECT unnest({_split('line')}) AS word FROM lines) GROUP BY word""",
         "tokenize_lines": f"WITH {LINES} SELECT doc_id, unnest({_split('line')}) AS word FROM lines",
         "income_by_key": """SELECT o_custkey, round(sum(o_totalprice), 2) AS total,
             count(*) AS months, round(sum(o_totalprice), 2) / count(*) AS average
@@ -183,22 +243,29 @@ def oracle_sql() -> dict[str, str]:
         "rank_terms_one_pass": RANKED,
         "rank_terms_from_index": RANKED,
         "term_doc_index": f"WITH {MENTIONS} SELECT term, doc_id FROM mentions",
-        "term_postings": f"""WITH {MENTIONS} SELECT term, 0 AS piece,
+        "term_postings": f"""WITH {MENTIONS} SELECT term, doc_id // {DOCUMENT_RANGE} AS piece,
             string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS doc_ids
-            FROM mentions GROUP BY term""",
+            FROM mentions GROUP BY 1, 2""",
         "life_period_labels": f"""WITH {SUMMARY}
             SELECT working, sex, age, count(*) AS n FROM summary GROUP BY working, sex, age""",
         "time_use_summary": f"""WITH {SUMMARY}
             SELECT case_id, working, sex, age, round(primaryNeeds, 6) AS primaryNeeds,
             round(work, 6) AS work, round(other, 6) AS other FROM summary""",
+        "time_use_from_csv": f"""WITH {WIDE}
+            SELECT case_id::VARCHAR AS case_id, working, sex, age, round(primaryNeeds, 6) AS primaryNeeds,
+            round(work, 6) AS work, round(other, 6) AS other FROM wide""",
+        "time_use_from_lines": f"""WITH {WIDE}
+            SELECT working, sex, age, round(avg(primaryNeeds), 1) AS primaryNeeds,
+            round(avg(work), 1) AS work, round(avg(other), 1) AS other FROM wide
+            WHERE case_id % 10 <> 0 GROUP BY working, sex, age ORDER BY working, sex, age""",
         "time_use_grouped": GROUPED,
         "time_use_grouped_sql": GROUPED,
         "time_use_grouped_typed": GROUPED,
         "qa_pairs": f"WITH {PAIRS} SELECT * FROM pairs",
         "qa_grouped": f"WITH {PAIRS} SELECT qid, count(*) AS n_answers FROM pairs GROUP BY qid",
-        "qa_answer_lists": f"""WITH {PAIRS} SELECT qid, 0 AS piece,
+        "qa_answer_lists": f"""WITH {PAIRS} SELECT qid, answer_id // {ANSWER_RANGE} AS piece,
             array_to_string(list_sort(list(answer_score::VARCHAR)), ',') AS scores
-            FROM pairs GROUP BY qid""",
+            FROM pairs GROUP BY 1, 2""",
         "best_answer_score": f"""WITH {PAIRS} SELECT qid, tag,
             greatest(0, max(answer_score)) AS high_score FROM pairs GROUP BY qid, tag""",
         "feature_vectors": f"WITH {VECTORS} SELECT qid, lx, hs FROM vectors",
@@ -246,8 +313,26 @@ def oracle_sql() -> dict[str, str]:
                 time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '1970-01-01')
                 - i * INTERVAL '6 hours' AS window_start
                 FROM clicks, range(4) AS steps(i))
-            SELECT user_id, epoch(window_start)::BIGINT AS window_start, 0 AS piece,
-            {WINDOW_LIST} AS clicks FROM placed GROUP BY user_id, window_start""",
+            SELECT user_id, epoch(window_start)::BIGINT AS window_start, item // {ITEM_RANGE} AS piece,
+            {WINDOW_LIST} AS clicks FROM placed GROUP BY 1, 2, 3""",
+        "user_item_runs": _runs(""),
+        "stream_item_runs": _runs(
+            "WHERE (step + 1) * 30000000 <= (SELECT epoch_ms(max(ts)) * 1000 FROM events) - 600000000"
+        ),
+        "stream_item_visits": VISITS,
+        "stream_replayed_offsets": f"""WITH dense AS (
+            SELECT {BATCH} AS batch, (event_id % 3)::INT AS partition, event_id // 3 AS place FROM events)
+            SELECT batch, 'events' AS topic, partition, min(place) AS from_offset,
+            max(place) + 1 AS until_offset, count(*) AS n, true AS follows FROM dense GROUP BY batch, partition""",
+        "stream_dictionary_versions": f"""WITH ends AS (
+            SELECT min(event_type) AS first, max(event_type) AS last FROM events)
+            SELECT event_type AS word, strftime(ts, '%Y-%m-%d') AS date, count(*) AS n FROM events, ends
+            WHERE CASE {BATCH} WHEN 0 THEN event_type <> first WHEN 1 THEN event_type <> last
+                ELSE event_type = first END
+            GROUP BY 1, 2""",
+        "word_table_compacted": """SELECT event_type AS word,
+            strftime(ts::DATE + (user_id % 2 * 31)::INT, '%Y-%m-%d') AS date, count(*) AS n
+            FROM events GROUP BY 1, 2""",
         "user_item_window_at": NEWEST_WINDOW,
         "stream_user_item_sets": ITEM_SETS,
         "stream_item_window_at": NEWEST_WINDOW,

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.operators.counting import lines_of
+from tallyworks.operators.timeuse import OTHER_PREFIXES, PRIMARY_PREFIXES, WORK_PREFIXES
 from tallyworks.operators.wordfreq import distinct_words, space_tokens
+from tallyworks.session import new_folder
 from tallyworks.sources.files import read_table, spread, stream_table
 
 # Terms that occur in the documents, and one that does not.
@@ -21,6 +23,12 @@ SPREAD = 50_000
 
 TOPIC = "events"
 
+# Numbers of a range that make one piece of a collection: documents, items, answers.
+DOCUMENT_RANGE, ITEM_RANGE, ANSWER_RANGE = 256, 16, 4
+
+# Batches that the events come in, where a stream takes several.
+BATCHES = 3
+
 
 def use_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -100,6 +108,43 @@ def _records(events: DataFrame) -> DataFrame:
     )
 
 
+def event_batch(spark: SparkSession, folder: str, number: int) -> DataFrame:
+    """One of ``BATCHES`` equal parts of the events, in the order of their ids and times."""
+    events = table(spark, folder, "events")
+    ids = events.agg(F.max("event_id") + 1).scalar()
+    return events.where(F.call_function("div", F.col("event_id") * BATCHES, ids) == number)
+
+
+class Arrivals:
+    """A folder that a stream reads and that parts of the events arrive in, one after another."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self._spark, self._folder = spark, folder
+        self.path = new_folder(spark, "arrivals")
+        self.schema = table(spark, folder, "events").schema
+
+    def add(self, number: int) -> None:
+        event_batch(self._spark, self._folder, number).write.mode("append").parquet(self.path)
+
+    def stream(self) -> DataFrame:
+        return self._spark.readStream.schema(self.schema).parquet(self.path)
+
+    def clicks(self) -> DataFrame:
+        return _clicks(self.stream())
+
+    def records(self) -> DataFrame:
+        return _records(self.stream())
+
+    def dense_records(self) -> DataFrame:
+        """The same with three partitions by event, in which offsets have no holes."""
+        return _records(self.stream()).withColumns(
+            {
+                "partition": (F.col("offset") % 3).cast("int"),
+                "offset": F.call_function("div", F.col("offset"), F.lit(3).cast("long")),
+            }
+        )
+
+
 def records(spark: SparkSession, folder: str) -> DataFrame:
     """Events in the shape of topic records, three partitions by user."""
     return _records(table(spark, folder, "events"))
@@ -185,6 +230,28 @@ def survey(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Activities under each fixed prefix of the three classes: 400 columns in all.
+WIDE_ACTIVITIES = 20
+
+
+def wide_survey(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as survey rows with some hundred activity columns, as the published survey has.
+
+    Activity ``j`` of prefix ``i`` takes ``(o_custkey + 7 i + j) % 90`` minutes.
+    """
+    prefixes = [*PRIMARY_PREFIXES, *WORK_PREFIXES, *OTHER_PREFIXES]
+    activities = {f"{p}9{j:02d}": 7 * i + j for i, p in enumerate(prefixes) for j in range(WIDE_ACTIVITIES)}
+    minutes = F.transform(F.lit(list(activities.values())), lambda more: ((F.col("o_custkey") + more) % 90).cast("double"))
+    cases = table(spark, folder, "orders").select("o_orderkey", "o_custkey", minutes.alias("minutes"))
+    return cases.select(
+        F.col("o_orderkey").alias("case_id"),
+        (F.col("o_orderkey") % 7 + 1).alias("telfs"),
+        F.when(F.col("o_custkey") % 2 == 0, 1).otherwise(2).alias("tesex"),
+        (F.col("o_custkey") % 60 + 15).alias("teage"),
+        *[F.get("minutes", F.lit(at)).alias(name) for at, name in enumerate(activities)],
+    )
+
+
 def dictionary(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct words of the benchmark texts."""
     words = table(spark, folder, "benchmark").select(

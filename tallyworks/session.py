@@ -4,13 +4,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyworks import storage
+
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 _local_folders: dict[str, str] = {}
+# What this process has stored for each application and not dropped yet: paths, and tables held in executors.
+_owned: dict[str, list[str | DataFrame]] = {}
 
 
 def build_session(
@@ -63,7 +69,43 @@ def new_folder(spark: SparkSession, label: str) -> str:
     root = shared_folder(spark)
     if root is None:
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors can reach")
-    return f"{root}/{label}-{uuid.uuid4().hex}"
+    path = f"{root}/{label}-{uuid.uuid4().hex}"
+    _stored_of(spark).append(path)
+    return path
+
+
+def _stored_of(spark: SparkSession) -> list[str | DataFrame]:
+    return _owned.setdefault(spark.sparkContext.applicationId, [])
+
+
+def drop_stored(spark: SparkSession, keep: int = 0) -> int:
+    """Delete the folders and tables stored so far, but for the first ``keep``; returns how many were there.
+
+    Results that read them can't be read any more afterwards.
+    """
+    owned, dropped = _stored_of(spark), 0
+    while len(owned) > keep:
+        stored = owned.pop()
+        if isinstance(stored, str):
+            dropped += storage.remove(spark, stored)
+        else:
+            stored.unpersist()
+            dropped += 1
+    return dropped
+
+
+@contextmanager
+def stored_tables(spark: SparkSession) -> Iterator[None]:
+    """Own what is stored inside: it is deleted at the end, also when a query fails.
+
+    Read or write the result inside. Without such a scope stored tables stay until
+    ``drop_stored``, as results are read when the caller likes.
+    """
+    before = len(_stored_of(spark))
+    try:
+        yield
+    finally:
+        drop_stored(spark, before)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -71,10 +113,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
     A stored table outlives the executors that wrote it. Without a shared folder
     the rows are persisted instead; Spark recomputes lost blocks from lineage.
+    Put a query and the reading of its result into ``stored_tables`` to have both deleted.
     """
     spark = df.sparkSession
     if shared_folder(spark) is None:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+        held = df.persist(StorageLevel.MEMORY_AND_DISK)
+        _stored_of(spark).append(held)
+        return held
     path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

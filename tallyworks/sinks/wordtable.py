@@ -1,27 +1,49 @@
 """A table of word counts that batches add to, each exactly once.
 
 Every batch is written as a delta of its own, at a path made from the query and
-batch number, so a replayed batch overwrites itself. Readers add the deltas up.
-Compaction folds the deltas of one month into a new base version; the marks that
-name the version and the last batch in it are written last and in one file, so
-readers see either the old state or the new one.
+batch number, so a replayed batch overwrites itself. Compaction folds the deltas of one
+month into a new base. A log of manifests says which base of each month is
+current and which batches of each query are in it; the newest manifest holds.
+Readers resolve it to a list of paths once, so what is compacted afterwards does not
+change what they read, and they open no file of another month.
 
     deltas/query=<q>/batch=<n>/month=<yyyyMM>/
     bases/month=<yyyyMM>/version=<v>/
-    marks/month=<yyyyMM>/version=<v>/
+    log/<number>.json
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+import json
+import re
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyworks import storage
 from tallyworks.functions.times import MONTH_FORMAT
 
 _DELTA_SCHEMA = "word STRING, date DATE, n LONG, query STRING, batch LONG, month STRING"
 _BASE_SCHEMA = "word STRING, date DATE, n LONG, month STRING, version LONG"
-_MARK_SCHEMA = "query STRING, last_batch LONG, month STRING, version LONG"
+_DELTA_PATH = re.compile(r"/query=([^/]+)/batch=(\d+)(?:/month=([^/]+))?$")
+_BASE_PATH = re.compile(r"/month=([^/]+)/version=(\d+)$")
+# Manifests that are kept behind the newest one.
+_OLD_MANIFESTS = 2
+
+
+class Manifest:
+    """What holds as of one entry of the log: ``bases[month]`` is a version, ``folded[month][query]`` the last batch in it."""
+
+    def __init__(self, number: int, bases: dict[str, int], folded: dict[str, dict[str, int]]) -> None:
+        self.number, self.bases, self.folded = number, bases, folded
+
+    def has(self, month: str, query: str, batch: int) -> bool:
+        """Whether a batch is in the month's base."""
+        return batch <= self.folded.get(month, {}).get(query, -1)
+
+    def after(self, month: str, closed: dict[str, int]) -> Manifest:
+        bases = {**self.bases, month: self.bases.get(month, 0) + 1}
+        return Manifest(self.number + 1, bases, {**self.folded, month: {**self.folded.get(month, {}), **closed}})
 
 
 class WordTable:
@@ -45,127 +67,103 @@ class WordTable:
         )
 
     def counts(self, month: str | None = None) -> DataFrame:
-        """The table as it stands: one row ``word, date, n`` per word and day."""
-        parts = self._open_deltas(month).select("word", "date", "n")
-        parts = parts.unionByName(self._current_bases(month).select("word", "date", "n"))
-        return parts.groupBy("word", "date").agg(F.sum("n").alias("n"))
+        """The table as it stands now: one row ``word, date, n`` per word and day."""
+        manifest = self.manifest()
+        return self._added(self._open_deltas(manifest, month), self._bases(manifest, month))
 
     def months(self) -> list[str]:
         """Months with data, folded or not; one entry per month of history."""
-        folded = self._marks(None).select("month")
-        return self._listed(self._deltas(None).select("month").union(folded))
+        return sorted({month for _, _, month in self._deltas()} | self.manifest().bases.keys())
 
-    def _listed(self, months: DataFrame) -> list[str]:
-        return [row["month"] for row in months.distinct().orderBy("month").collect()]
+    def manifest(self) -> Manifest:
+        """The newest entry of the log."""
+        found = storage.matching(self._spark, f"{self._root}/log/*.json")
+        if not found:
+            return Manifest(0, {}, {})
+        said = json.loads(storage.read_text(self._spark, found[-1]))
+        return Manifest(int(found[-1].rsplit("/", 1)[1].removesuffix(".json")), said["bases"], said["folded"])
 
     def compact(self, month: str) -> int:
         """Fold the deltas of ``month`` into a new base version, and return its number.
 
         The newest batch of each query stays open, as it may still be replayed.
+        Of two compactions at a time one is entered in the log, the other fails.
         """
-        newest = self._marks(month).agg(F.max("version").alias("v")).first()["v"]
-        version = (newest or 0) + 1
-        # taken to the driver (a row per query), so that a batch arriving meanwhile stays open
-        closed = {
-            row["query"]: row["upto"]
-            for row in self._deltas(None)
-            .groupBy("query")
-            .agg((F.max("batch") - 1).alias("upto"))
-            .collect()
-        }
-        marks = self._spark.createDataFrame(
-            sorted(closed.items()), "query STRING, last_batch LONG"
-        )
-        upto = marks.withColumnRenamed("last_batch", "_upto")
-        (
-            self._open_deltas(month)
-            .join(F.broadcast(upto), "query")
-            .where(F.col("batch") <= F.col("_upto"))
-            .select("word", "date", "n")
-            .unionByName(self._current_bases(month).select("word", "date", "n"))
-            .groupBy("word", "date")
-            .agg(F.sum("n").alias("n"))
-            .write.mode("overwrite")
-            .parquet(f"{self._root}/bases/month={month}/version={version}")
-        )
-        marks.coalesce(1).write.mode("overwrite").parquet(
-            f"{self._root}/marks/month={month}/version={version}"
+        before = self.manifest()
+        closed = {query: newest - 1 for query, newest in self._newest().items()}
+        after = before.after(month, closed)
+        version = after.bases[month]
+        self.to_fold(before, month, closed).write.mode("overwrite").parquet(
+            f"{self._root}/bases/month={month}/version={version}"
         )
+        entry = json.dumps({"bases": after.bases, "folded": after.folded}, sort_keys=True)
+        if not storage.write_new_text(self._spark, f"{self._root}/log/{after.number:012d}.json", entry):
+            raise RuntimeError(f"another compaction of {self._root} was faster")
         return version
 
+    def to_fold(self, manifest: Manifest, month: str, closed: dict[str, int]) -> DataFrame:
+        """The next base of ``month``: its base and its open deltas up to the closed batches."""
+        deltas = [d for d in self._open_deltas(manifest, month) if d[1] <= closed.get(d[0], -1)]
+        return self._added(deltas, self._bases(manifest, month))
+
     def compact_all(self) -> None:
-        """Compact every month that has deltas, then remove those that no reader needs any more."""
-        for month in self._listed(self._deltas(None).select("month")):
+        """Compact every month that has deltas, then remove what no reader needs any more."""
+        for month in sorted({month for _, _, month in self._deltas()}):
             self.compact(month)
         self.remove_folded()
 
     def remove_folded(self) -> int:
-        """Delete the deltas before the first open one of each query; returns how many.
+        """Delete folded deltas, bases that are not current, and old manifests; returns how many folders.
 
         To be called while nobody reads the table: a read under way may still
         want the files.
         """
-        first_open = {
-            row["query"]: row["first"]
-            for row in self._open_deltas(None)
-            .groupBy("query")
-            .agg(F.min("batch").alias("first"))
-            .collect()
-        }
-        context = self._spark.sparkContext
-        path_of = context._jvm.org.apache.hadoop.fs.Path
-        removed = 0
-        for query, first in first_open.items():
-            folder = path_of(f"{self._root}/deltas/query={query}")
-            files = folder.getFileSystem(context._jsc.hadoopConfiguration())
-            for status in files.listStatus(folder):
-                batch = status.getPath().getName().removeprefix("batch=")
-                if batch.isdigit() and int(batch) < first:
-                    removed += files.delete(status.getPath(), True)
-        return removed
-
-    def _read(self, part: str, schema: str, month: str | None) -> DataFrame:
-        try:
-            table = (
-                self._spark.read.schema(schema)
-                .option("basePath", f"{self._root}/{part}")
-                .parquet(f"{self._root}/{part}")
-            )
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            table = self._spark.createDataFrame([], schema)
-        return table if month is None else table.where(F.col("month") == month)
-
-    def _deltas(self, month: str | None) -> DataFrame:
-        return self._read("deltas", _DELTA_SCHEMA, month)
-
-    def _marks(self, month: str | None) -> DataFrame:
-        return self._read("marks", _MARK_SCHEMA, month)
-
-    def _last_folded(self, month: str | None) -> DataFrame:
-        """The marks of each month's newest version: a row per query and month.
-
-        So few rows are broadcast; a shuffle by query would bring all deltas into one task.
-        """
-        newest = Window.partitionBy("month").orderBy(F.desc("version"))
-        return (
-            self._marks(month)
-            .withColumn("_age", F.rank().over(newest))
-            .where(F.col("_age") == 1)
-            .select("query", "month", "last_batch", "version")
-        )
-
-    def _open_deltas(self, month: str | None) -> DataFrame:
-        folded = self._last_folded(month).select("query", "month", "last_batch")
-        return (
-            self._deltas(month)
-            .join(F.broadcast(folded), ["query", "month"], "left")
-            .where(F.col("last_batch").isNull() | (F.col("batch") > F.col("last_batch")))
-        )
+        manifest, newest = self.manifest(), self._newest()
+        months: dict[tuple[str, int], set[str]] = {}
+        for query, batch, month in self._deltas():
+            months.setdefault((query, batch), set()).add(month)
+        gone = [
+            f"{self._root}/deltas/query={query}/batch={batch}"
+            for (query, batch), held in months.items()
+            if batch < newest[query] and all(manifest.has(month, query, batch) for month in held)
+        ]
+        for path in storage.matching(self._spark, f"{self._root}/bases/month=*/version=*"):
+            month, version = _BASE_PATH.search(path).groups()
+            if int(version) < manifest.bases.get(month, 0):
+                gone.append(path)
+        for path in storage.matching(self._spark, f"{self._root}/log/*.json")[: -1 - _OLD_MANIFESTS]:
+            storage.remove(self._spark, path)
+        return sum(storage.remove(self._spark, path) for path in gone)
+
+    def _newest(self) -> dict[str, int]:
+        """The newest batch of each query, from folder names."""
+        newest: dict[str, int] = {}
+        for path in storage.matching(self._spark, f"{self._root}/deltas/query=*/batch=*"):
+            query, batch, _ = _DELTA_PATH.search(path).groups()
+            newest[query] = max(int(batch), newest.get(query, -1))
+        return newest
+
+    def _deltas(self, month: str | None = None) -> list[tuple[str, int, str]]:
+        """``query, batch, month`` of the deltas, from folder names; a batch that is being written has none yet."""
+        pattern = f"{self._root}/deltas/query=*/batch=*/month={month or '*'}"
+        found = (_DELTA_PATH.search(path).groups() for path in storage.matching(self._spark, pattern))
+        return [(query, int(batch), month) for query, batch, month in found]
+
+    def _open_deltas(self, manifest: Manifest, month: str | None) -> list[tuple[str, int, str]]:
+        return [(q, b, m) for q, b, m in self._deltas(month) if not manifest.has(m, q, b)]
+
+    def _bases(self, manifest: Manifest, month: str | None) -> list[tuple[str, int]]:
+        return [(m, v) for m, v in sorted(manifest.bases.items()) if month in (None, m)]
+
+    def _added(self, deltas: list[tuple[str, int, str]], bases: list[tuple[str, int]]) -> DataFrame:
+        delta_paths = [f"{self._root}/deltas/query={q}/batch={b}/month={m}" for q, b, m in deltas]
+        base_paths = [f"{self._root}/bases/month={m}/version={v}" for m, v in bases]
+        parts = self._read("deltas", _DELTA_SCHEMA, delta_paths).unionByName(self._read("bases", _BASE_SCHEMA, base_paths))
+        return parts.groupBy("word", "date").agg(F.sum("n").alias("n"))
 
-    def _current_bases(self, month: str | None) -> DataFrame:
-        current = self._last_folded(month).select("month", "version").distinct()
-        return self._read("bases", _BASE_SCHEMA, month).join(
-            F.broadcast(current), ["month", "version"], "left_semi"
-        )
+    def _read(self, part: str, schema: str, paths: list[str]) -> DataFrame:
+        if paths:
+            rows = self._spark.read.schema(schema).option("basePath", f"{self._root}/{part}").parquet(*paths)
+        else:
+            rows = self._spark.createDataFrame([], schema)
+        return rows.select("word", "date", "n")

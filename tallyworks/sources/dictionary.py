@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyworks import storage
 from tallyworks.operators.wordfreq import distinct_words
 from tallyworks.session import new_folder
 
@@ -92,6 +93,45 @@ class RenewingDictionary:
 
     def _keep(self, newest: int) -> None:
         while len(self._paths) > newest:
-            context = self._words.sparkSession.sparkContext
-            old = context._jvm.org.apache.hadoop.fs.Path(self._paths.pop(0))
-            old.getFileSystem(context._jsc.hadoopConfiguration()).delete(old, True)
+            storage.remove(self._words.sparkSession, self._paths.pop(0))
+
+
+class DictionaryVersions:
+    """Published dictionaries, and which of them each batch was counted with.
+
+    A batch takes the newest version at its first attempt and notes it; when
+    it is replayed, it takes the noted one, whatever was published since. So a
+    batch gives the same counts each time.
+
+        words/version=<n>/
+        uses/query=<q>/batch=<n>    holds the version
+    """
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self._spark = spark
+        self._root = root.rstrip("/")
+
+    def publish(self, words: DataFrame, word: str = "word") -> int:
+        """Store the distinct words as the next version and return its number."""
+        version = max(self.versions(), default=0) + 1
+        distinct_words(words, word).write.parquet(f"{self._root}/words/version={version}")
+        return version
+
+    def versions(self) -> list[int]:
+        """Versions that are completely written."""
+        found = storage.matching(self._spark, f"{self._root}/words/version=*/_SUCCESS")
+        return sorted(int(path.rsplit("/", 2)[1].removeprefix("version=")) for path in found)
+
+    def version_of(self, query: str, batch: int) -> int:
+        """The version that a batch counts with, noted at the first call."""
+        note = f"{self._root}/uses/query={query}/batch={batch}"
+        if not storage.exists(self._spark, note):
+            published = self.versions()
+            if not published:
+                raise ValueError(f"no dictionary is published in {self._root}")
+            storage.write_new_text(self._spark, note, str(published[-1]))
+        return int(storage.read_text(self._spark, note))
+
+    def for_batch(self, query: str, batch: int) -> DataFrame:
+        """``word`` of the version that a batch counts with."""
+        return self._spark.read.schema("word STRING").parquet(f"{self._root}/words/version={self.version_of(query, batch)}")

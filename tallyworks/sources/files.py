@@ -9,9 +9,12 @@ from pyspark.sql import types as T
 from tallyworks.functions.text import STRICT, all_sound, char_pattern, check_mode
 
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row ``value`` per line. A missing path is an error."""
-    return spark.read.text(path)
+def read_lines(spark: SparkSession, path: str | list[str], line_separator: str | None = None) -> DataFrame:
+    """One row ``value`` per line. A missing path is an error.
+
+    Lines end at a line feed, a carriage return or both, or at ``line_separator`` alone.
+    """
+    return spark.read.text(path, lineSep=line_separator)
 
 
 def stream_lines(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -90,15 +93,18 @@ def survey_rows(
     """Lines of separated fields as rows of ``survey_schema(names)``.
 
     A missing field or bad number fails in strict mode and gives NULL in permissive mode.
+    A line is split once and its numbers are read once, into an array: written out for
+    hundreds of columns, each with a split of its own, the code could not be compiled.
     """
     check_mode(mode)
-    fields = F.split(F.col(line), char_pattern(separator))
-    columns, sound = [], F.lit(True)
-    for field in survey_schema(names):
-        piece = F.get(fields, F.lit(len(columns)))
-        value = piece if field.dataType == T.StringType() else piece.try_cast(field.dataType)
-        columns.append(value.alias(field.name))
-        sound = sound & value.isNotNull()
+    fields = lines.select(F.col(line).alias("_line"), F.split(F.col(line), char_pattern(separator)).alias("_fields"))
+    numbers = F.transform(F.slice("_fields", 2, max(1, len(names) - 1)), lambda field: field.try_cast("double"))
+    read = fields.withColumn("_numbers", numbers)
     if mode == STRICT:
-        lines = lines.where(all_sound(sound, F.col(line), "survey row"))
-    return lines.select(*columns)
+        whole = F.size("_fields") >= len(names)
+        sound = whole & ~F.exists("_numbers", lambda n: n.isNull()) if len(names) > 1 else whole
+        read = read.where(all_sound(sound, F.col("_line"), "survey row"))
+    return read.select(
+        F.get("_fields", F.lit(0)).alias(names[0]),
+        *[F.get("_numbers", F.lit(i)).alias(name) for i, name in enumerate(names[1:])],
+    )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -12,16 +13,28 @@ CLICK_INTERVAL = "10 seconds"
 WORD_INTERVAL = "3 seconds"
 
 
+BatchHandler = Callable[[DataFrame, int], None]
+
 STATE_STORE_SETTING = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def keep_state_on_disk(spark: SparkSession) -> None:
-    """Let queries started from now on keep their state in RocksDB rather than in memory.
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Let queries started inside keep their state in RocksDB rather than in memory.
 
-    A query with a checkpoint goes on with the store it began with.
+    A query takes the setting over when it starts, and one with a checkpoint goes on
+    with the store it began with. Other queries of the session keep their own.
     """
+    before = spark.conf.get(STATE_STORE_SETTING, None)
     spark.conf.set(STATE_STORE_SETTING, ROCKSDB_STORE)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE_SETTING)
+        else:
+            spark.conf.set(STATE_STORE_SETTING, before)
 
 
 def with_trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
@@ -47,16 +60,19 @@ def start_table(
 
 def start_batches(
     stream: DataFrame,
-    handle: Callable[[DataFrame, int], None],
+    handle: BatchHandler,
     checkpoint: str,
     every: str | None = CLICK_INTERVAL,
     output_mode: str = "append",
+    wrap: Callable[[BatchHandler], BatchHandler] | None = None,
 ) -> StreamingQuery:
     """Call ``handle`` with each non-empty batch and its number.
 
     Offsets are logged before a batch and committed after it, so a restart on
-    the same checkpoint repeats at most the batch that was interrupted.
+    the same checkpoint repeats at most the batch that was interrupted. ``wrap``
+    puts something around the handler, such as a measurement or a fault.
     """
+    handle = wrap(handle) if wrap else handle
 
     def run(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():

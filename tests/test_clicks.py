@@ -5,6 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tallyworks.operators import clicks
+from tallyworks.operators.panes import item_panes, window_runs
 
 
 def messages(spark, values):
@@ -71,6 +72,57 @@ def test_default_window_holds_each_click_120_times(history):
     assert windows.count() == 120
 
 
+def test_runs_are_the_windows_of_equal_content(history):
+    runs = clicks.user_item_runs(history, "60 seconds", "10 seconds").collect()
+    of_runs = {}
+    for r in runs:
+        at = r["first_start"]
+        while at <= r["last_start"]:
+            assert (r["user_id"], at) not in of_runs
+            of_runs[r["user_id"], at] = r["clicks"]
+            at += timedelta(seconds=10)
+    singles = clicks.user_item_windows(history, "60 seconds", "10 seconds").collect()
+    assert of_runs == {(r["user_id"], r["window_start"]): r["clicks"] for r in singles}
+    of_b = [r for r in runs if r["user_id"] == "b"]
+    assert len(of_b) == 2, "one click: a run in each of two blocks"
+
+
+def test_a_click_is_in_one_pane_and_goes_through_the_second_shuffle_twice_at_most(spark):
+    panes = item_panes(many_clicks(spark), "30 seconds")
+    assert panes.agg(F.sum(F.size("clicks"))).first()[0] == 3000
+    plan = window_runs(panes, "3600 seconds", "30 seconds")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1 and "Expand" not in plan
+    steps = [r["pane"].timestamp() // 30 for r in panes.collect()]
+    assert {len({(s - 119) // 120, s // 120}) for s in steps} <= {1, 2}
+
+
+def many_clicks(spark):
+    return spark.range(3000).select(
+        F.concat(F.lit("u"), (F.col("id") % 3).cast("string")).alias("user_id"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 7).alias("ts"),
+        (F.col("id") % 50).cast("int").alias("item"),
+    )
+
+
+def test_windows_of_a_busy_user_by_brute_force(spark):
+    rows = [tuple(r) for r in many_clicks(spark).collect() if r["user_id"] == "u1"]
+    got = clicks.user_item_windows(many_clicks(spark).where("user_id = 'u1'"), "10 minutes", "1 minute", width=20)
+    found = {(r["window_start"], r["piece"]): [tuple(c) for c in r["clicks"]] for r in got.collect()}
+    expected, minute = {}, timedelta(minutes=1)
+    for _, ts, item in rows:
+        start = ts.replace(second=0) - 9 * minute
+        for step in range(10):
+            expected.setdefault((start + step * minute, item // 20), []).append((ts, item))
+    assert found == {key: sorted(v) for key, v in expected.items()}
+
+
+def test_window_must_be_whole_steps(history):
+    with pytest.raises(ValueError, match="no multiple"):
+        clicks.user_item_runs(history, "50 seconds", "30 seconds")
+    with pytest.raises(ValueError, match="not a duration"):
+        clicks.user_item_runs(history, "1 month", "30 seconds")
+
+
 def test_one_window_equals_its_part_of_the_history(history):
     end = START + timedelta(seconds=3600)
     at_end = {r["user_id"]: r["clicks"] for r in clicks.user_item_window_at(history, end).collect()}
@@ -94,8 +146,8 @@ def test_hot_user_comes_in_pieces(spark):
     many = spark.range(5000).select(
         F.lit("hot").alias("user_id"), F.timestamp_seconds("id").alias("ts"), F.col("id").cast("int").alias("item")
     )
-    rows = clicks.user_item_sets(many, max_rows=500).collect()
-    assert len(rows) == 10 and max(len(r["items"]) for r in rows) < 1000
+    rows = clicks.user_item_sets(many, width=500).collect()
+    assert len(rows) == 10 and max(len(r["items"]) for r in rows) == 500
     assert sorted(i for r in rows for i in r["items"]) == list(range(5000))
 
 

@@ -1,12 +1,11 @@
 import random
 import statistics
 
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallyworks.operators.grouping import collect_in_pieces, integer_median, place_in_pieces
+from tallyworks.operators.grouping import collect_by_range, integer_median, range_piece
 
 
 def truncated_median(values):
@@ -60,56 +59,43 @@ def test_null_values_do_not_count(spark):
     assert integer_median(df, ["k"], "v").first()["median"] == 3
 
 
-@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
-def test_pieces_are_bounded_and_whole(spark, with_settings, broadcast):
-    with_settings(
-        spark__sql__autoBroadcastJoinThreshold=broadcast,
-        spark__sql__adaptive__autoBroadcastJoinThreshold=broadcast,
-    )
+def test_ranges_of_any_number(spark):
+    numbers = [0, 1, 9, 10, -1, -10, -11, 2**63 - 1, -(2**63) + 10]
+    df = spark.createDataFrame([(n,) for n in numbers], "n LONG")
+    assert [r[0] for r in df.select(range_piece(F.col("n"), 10)).collect()] == [n // 10 for n in numbers]
+
+
+def test_pieces_are_whole_and_follow_the_number_alone(spark):
     rows = spark.range(9000).select(
         F.when(F.col("id") % 3 > 0, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("k"), (F.col("id") % 90).cast("string")))
         .alias("k"),
-        F.col("id").alias("v"),
+        (F.col("id") - 4500).alias("v"),
     )
-    got = collect_in_pieces(rows, ["k"], F.col("v"), "vs", max_rows=500).collect()
-    assert max(len(r["vs"]) for r in got) < 1000
-    assert sorted(v for r in got for v in r["vs"]) == list(range(9000))
-    small = [r for r in got if r["k"] is not None]
-    assert len(small) == 30 and {r["piece"] for r in small} == {0}
+    got = collect_by_range(rows, ["k"], "v", "vs", width=500).collect()
+    assert sorted(v for r in got for v in r["vs"]) == list(range(-4500, 4500))
+    assert all(v // 500 == r["piece"] for r in got for v in r["vs"])
     assert all(r["vs"] == sorted(r["vs"]) for r in got)
-    assert len([r for r in got if r["k"] is None]) == 12
+    assert len({(r["k"], r["piece"]) for r in got}) == len(got) == 31 * 18
 
 
-def test_rows_stay_in_place_and_hot_keys_are_spread(spark, tmp_path, with_settings):
+def test_repeats_and_other_elements(spark):
+    rows = spark.createDataFrame([("a", 1, "x"), ("a", 1, "x"), ("a", 3, "y")], "k STRING, v INT, e STRING")
+    assert [r["vs"] for r in collect_by_range(rows, ["k"], "v", "vs").collect()] == [[1, 1, 3]]
+    assert [r["es"] for r in collect_by_range(rows, ["k"], "v", "es", F.col("e"), distinct=True).collect()] == [["x", "y"]]
+
+
+def test_one_shuffle_spreads_a_hot_key(spark, tmp_path, with_settings):
     path = str(tmp_path / "hot")
     spark.range(60_000).select(
         F.when(F.col("id") % 20 == 0, F.col("id") % 7).otherwise(0).alias("k"), F.col("id").alias("v")
     ).write.parquet(path)
-    with_settings(
-        spark__sql__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__enabled="false",
-        spark__sql__shuffle__partitions="8",
-    )
-    rows = spark.read.parquet(path)
-    placed = place_in_pieces(rows, ["k"], F.col("v"), max_rows=1000)
-    plan = placed._jdf.queryExecution().executedPlan().toString()
-    main = plan[: plan.index("BroadcastExchange")]
-    assert "BroadcastHashJoin" in main and "Exchange" not in main
-    lists = collect_in_pieces(rows, ["k"], F.col("v"), "vs", max_rows=1000)
+    with_settings(spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="8")
+    lists = collect_by_range(spark.read.parquet(path), ["k"], "v", "vs", width=1000)
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("FileScan") == 1 and "Join" not in plan
     shares = lists.select(F.size("vs").alias("n")).groupBy(F.spark_partition_id()).sum("n").collect()
     assert len(shares) == 8 and max(r[1] for r in shares) < 20_000
-    assert sorted(v for r in lists.collect() for v in r["vs"]) == list(range(60_000))
-    assert max(len(r["vs"]) for r in lists.collect()) < 1500
-
-
-def test_table_of_large_groups_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr("tallyworks.operators.grouping.MAX_LARGE_GROUPS", 10)
-    rows = spark.range(2000).select((F.col("id") % 40).alias("k"), F.col("id").alias("v"))
-    # each of the 40 groups has 50 rows: a tenth of the total is 200, so none is large
-    lists = collect_in_pieces(rows, ["k"], F.col("v"), "vs", max_rows=20).collect()
-    assert {r["piece"] for r in lists} == {0} and len(lists) == 40
-    hot = rows.withColumn("k", F.when(F.col("v") < 1500, 0).otherwise(F.col("k")))
-    lists = collect_in_pieces(hot, ["k"], F.col("v"), "vs", max_rows=20).collect()
-    assert len([r for r in lists if r["k"] == 0]) > 50
-    assert sorted(v for r in lists for v in r["vs"]) == list(range(2000))
+    rows = lists.collect()
+    assert sorted(v for r in rows for v in r["vs"]) == list(range(60_000))
+    assert max(len(r["vs"]) for r in rows) <= 1000

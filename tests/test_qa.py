@@ -80,8 +80,8 @@ def hot_postings(spark, answers=20_000):
 
 
 def test_hot_question_is_whole_and_in_bounded_pieces(spark):
-    rows = qa.answers_by_question(hot_postings(spark), max_rows=1000).collect()
-    assert max(len(r["answers"]) for r in rows) < 2000
+    rows = qa.answers_by_question(hot_postings(spark), width=1000).collect()
+    assert max(len(r["answers"]) for r in rows) <= 1000
     ids = [a["answer_id"] for r in rows for a in r["answers"]]
     assert len(ids) == 20_000 and len(set(ids)) == 20_000
 
@@ -119,9 +119,11 @@ def test_hot_question_is_split_in_the_pair_join(stored_hot):
     assert "skew=true" in executed(pairs)
 
 
-def test_hot_question_is_split_on_the_way_to_its_pieces(stored_hot):
-    lists = qa.answers_by_question(stored_hot, max_rows=1000)
+def test_answers_are_collected_before_they_meet_their_question(stored_hot):
+    lists = qa.answers_by_question(stored_hot, width=1000)
     rows = lists.collect()
     assert len({a["answer_id"] for r in rows for a in r["answers"]}) == 60_000
-    assert max(len(r["answers"]) for r in rows) < 2000
-    assert "skew=true" in executed(lists)
+    assert max(len(r["answers"]) for r in rows) <= 1000
+    plan = executed(lists)
+    assert "hashpartitioning(qid" in plan and "piece" in plan[plan.index("ObjectHashAggregate") :]
+    assert qa.answers_by_question(stored_hot.where("post_type = 2")).count() == 0

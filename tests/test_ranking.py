@@ -1,16 +1,13 @@
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from tallyworks.operators import ranking
 
-FIVE = [
-    ("1", "one evening Erlang nodes talked to a Groovy script"),
-    ("2", "our service mixes Java classes with Scala objects"),
-    ("3", "a Scala macro expands before the compiler sees types"),
-    ("4", "lazy lists in Haskell have no twin in Java yet"),
-    ("5", "Java threads became cheap last year"),
-]
-TERMS = ["Scala", "Java", "Groovy", "Haskell", "Erlang"]
+# Trees named in walks through a park; a walk names each tree any number of times.
+TREES = ["oak", "ash", "lime", "yew", "elm", "fir"]
 
 
 def docs(spark, rows):
@@ -21,44 +18,56 @@ def ranked(df):
     return [tuple(r) for r in df.collect()]
 
 
-def test_documents_mentioning_one_term(spark):
-    assert ranking.documents_mentioning(docs(spark, [("t", "Java beans, JavaBeans")]), "Java").first()["n"] == 1
+def walks(seed=8, n=60):
+    """Texts, and how many of them name each tree. The first trees are common, the last one never occurs."""
+    rng, rows, counts = random.Random(seed), [], Counter()
+    for i in range(n):
+        named = [t for place, t in enumerate(TREES[:-1]) if rng.random() < 0.9 / (place + 1)]
+        words = [w for t in named for w in [t] * rng.randint(1, 3)]
+        words += rng.choices(["past", "oaks", "limes", "ash,", "Yew", "under"], k=rng.randint(0, 6))
+        rng.shuffle(words)
+        rows.append((f"walk{i}", " ".join(words)))
+        counts.update(named)
+    return rows, sorted(counts.items(), key=lambda tree: (-tree[1], tree[0]))
 
 
-def test_rank_of_two_documents(spark):
-    two = docs(spark, [("1", "try Scala first"), ("2", "port Java code to Scala later")])
-    assert ranked(ranking.rank_terms_one_pass(two, ["Scala", "Java"])) == [("Scala", 2), ("Java", 1)]
+@pytest.mark.parametrize("text, n", [("oak", 1), ("an oak", 1), ("oak oak", 1), ("oaks", 0), ("oak,", 0), ("Oak", 0), ("", 0)])
+def test_only_whole_words_are_mentions(spark, text, n):
+    assert ranking.documents_mentioning(docs(spark, [("w", text)]), "oak").first()["n"] == n
 
 
-def test_index_has_the_mentioned_terms_only(spark):
-    index = ranking.term_index(docs(spark, FIVE[:3]), ["Scala", "Java"])
-    assert sorted(ranked(index)) == [("Java", "2"), ("Scala", "2"), ("Scala", "3")]
-    assert ranking.rank_from_index(index).first()["term"] == "Scala"
+@pytest.mark.parametrize("seed", [1, 2])
+def test_all_forms_equal_a_plain_count(spark, seed):
+    rows, expected = walks(seed)
+    walked = docs(spark, rows)
+    assert ranked(ranking.rank_terms(walked, TREES)) == expected
+    assert ranked(ranking.rank_terms_one_pass(walked, TREES)) == expected
+    assert ranked(ranking.rank_from_index(ranking.term_index(walked, TREES))) == expected
 
 
-def test_rank_by_count(spark):
-    assert ranking.rank_terms(docs(spark, FIVE), TERMS).first()["term"] == "Java"
+def test_index_by_brute_force(spark):
+    rows, _ = walks()
+    index = ranking.term_index(docs(spark, rows), TREES)
+    assert sorted(ranked(index)) == sorted((t, i) for i, text in rows for t in TREES if t in text.split())
 
 
-def test_all_forms_agree_and_ties_go_by_name(spark):
-    five = docs(spark, FIVE)
-    expected = [("Java", 3), ("Scala", 2), ("Erlang", 1), ("Groovy", 1), ("Haskell", 1)]
-    assert ranked(ranking.rank_terms(five, TERMS)) == expected
-    assert ranked(ranking.rank_terms_one_pass(five, TERMS)) == expected
-    assert ranked(ranking.rank_from_index(ranking.term_index(five, TERMS))) == expected
+def test_ties_go_by_name(spark):
+    rows = docs(spark, [("w1", "yew elm"), ("w2", "fir"), ("w3", "elm yew fir"), ("w4", "ash")])
+    for rank in (ranking.rank_terms, ranking.rank_terms_one_pass):
+        assert ranked(rank(rows, TREES)) == [("elm", 2), ("fir", 2), ("yew", 2), ("ash", 1)]
 
 
-def test_repeated_and_absent_terms(spark):
-    five = docs(spark, FIVE)
+def test_terms_given_twice_or_never_named(spark):
+    rows = docs(spark, walks()[0])
     for rank in (ranking.rank_terms, ranking.rank_terms_one_pass):
-        assert ranked(rank(five, ["Java", "Java", "Cobol"])) == [("Java", 3)]
+        assert ranked(rank(rows, ["fir", "lime", "lime"])) == [t for t in walks()[1] if t[0] == "lime"]
     with pytest.raises(ValueError):
         ranking.unique_terms([])
 
 
 def test_default_terms(spark):
-    found = dict(ranked(ranking.rank_terms(docs(spark, FIVE))))
-    assert found == {"Java": 3, "Scala": 2, "Groovy": 1, "Haskell": 1}
+    rows = docs(spark, [("1", "Perl Perl C# c++"), ("2", "C# CSS-free Perl6"), ("3", "perl")])
+    assert ranked(ranking.rank_terms(rows)) == [("C#", 2), ("Perl", 1)]
 
 
 def test_long_posting_lists_come_in_pieces(spark):
@@ -67,15 +76,15 @@ def test_long_posting_lists_come_in_pieces(spark):
         F.when(F.col("id") < 990, "hot").otherwise("cold").alias("text"),
     )
     index = ranking.term_index(many, ["hot", "cold"])
-    rows = ranking.postings_by_term(index, max_rows=100).collect()
+    rows = ranking.postings_by_term(index, width=100).collect()
     hot = [r for r in rows if r["term"] == "hot"]
-    assert len(hot) > 5 and max(len(r["doc_ids"]) for r in hot) < 300
+    assert len(hot) == 10 and max(len(r["doc_ids"]) for r in hot) == 100
     assert sorted(d for r in hot for d in r["doc_ids"]) == list(range(990))
     assert [r["doc_ids"] for r in rows if r["term"] == "cold"] == [list(range(990, 1000))]
 
 
 def test_no_join_with_the_terms(spark, plan_of):
-    five = docs(spark, FIVE)
-    for df in (ranking.rank_terms(five, TERMS), ranking.term_index(five, TERMS)):
+    rows = docs(spark, walks()[0])
+    for df in (ranking.rank_terms(rows, TREES), ranking.term_index(rows, TREES)):
         plan = plan_of(df)
         assert "Join" not in plan and "Cartesian" not in plan and "EvalPython" not in plan

@@ -1,11 +1,14 @@
 import json
 
 import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
+from tallyworks.operators import timeuse
 from tallyworks.sinks import jdbc
 from tallyworks.sinks.topics import write_options
 from tallyworks.sources import dictionary, topics
-from tallyworks.sources.files import read_table, spread
+from tallyworks.sources.files import read_lines, read_table, spread, survey_rows
 from tallyworks.session import CHECKPOINT_SETTING, materialize, new_folder, shared_folder
 
 
@@ -133,3 +136,43 @@ def test_spread_only_deals_out_small_scans(spark, tmp_path):
     assert spread(small).rdd.getNumPartitions() == 4
     wide = spark.range(0, 100, 1, 9)
     assert spread(wide) is wide
+
+
+def test_dictionary_of_a_batch_stays_when_replayed(spark, tmp_path):
+    versions = dictionary.DictionaryVersions(spark, str(tmp_path / "d"))
+    with pytest.raises(ValueError, match="no dictionary"):
+        versions.for_batch("q", 0)
+
+    def publish(*words):
+        return versions.publish(spark.createDataFrame([(w,) for w in words], "word STRING"))
+
+    def words_of(batch, query="q"):
+        return sorted(r["word"] for r in versions.for_batch(query, batch).collect())
+
+    assert publish("a", "b", "a", None) == 1
+    assert words_of(0) == ["a", "b"]
+    assert publish("c") == 2
+    assert words_of(0) == ["a", "b"] and words_of(1) == ["c"] and words_of(0, "p") == ["c"]
+    assert versions.versions() == [1, 2]
+    (tmp_path / "d/words/version=3").mkdir()  # begun, not finished
+    assert words_of(2) == ["c"]
+
+
+def test_survey_of_hundreds_of_columns(spark):
+    names = ["case"] + [f"t01{i:04d}" for i in range(500)]
+    lines = ["c1," + ",".join(str(i) for i in range(500)), "c2," + ",".join("1" for _ in range(499))]
+    df = spark.createDataFrame([(x,) for x in lines], "value STRING")
+    rows = {r["case"]: r for r in survey_rows(df, names, mode="permissive").collect()}
+    assert list(rows["c1"])[1:] == [float(i) for i in range(500)]
+    assert rows["c2"][499] == 1.0 and rows["c2"][500] is None
+    total = timeuse.sum_columns([F.col(n) for n in names[1:]])
+    assert survey_rows(df.limit(1), names).select(total).first()[0] == sum(range(500))
+    with pytest.raises(PySparkException, match="bad survey row"):
+        survey_rows(df, names).collect()
+
+
+def test_lines_end_where_they_are_told_to(spark, tmp_path):
+    (tmp_path / "t").write_bytes(b"a\rb\nc\n")
+    values = lambda df: [r["value"] for r in df.collect()]
+    assert values(read_lines(spark, str(tmp_path / "t"))) == ["a", "b", "c"]
+    assert values(read_lines(spark, str(tmp_path / "t"), "\n")) == ["a\rb", "c"]

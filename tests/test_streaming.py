@@ -3,15 +3,17 @@ import itertools
 import os
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tallyworks.operators import clicks as batch_clicks
 from tallyworks.operators import wordfreq
+from tallyworks.operators.panes import single_windows
 from tallyworks.plans import tables
 from tallyworks.sinks.wordtable import WordTable
 from tallyworks.sources.dictionary import RenewingDictionary
 from tallyworks.sources.topics import stream_record_files
-from tallyworks.streaming import clicks, runtime
+from tallyworks.streaming import clicks, recovery, runtime
 from tallyworks.streaming.wordfreq import start_word_frequency
 
 SF = "/root/testdata/sf0.001"
@@ -107,27 +109,93 @@ def test_all_sets_in_each_batch(spark, topic, thirds, records, tmp_path):
 
 
 def test_closed_windows_equal_the_batch(spark, topic, thirds, records, tmp_path):
+    out, history = str(tmp_path / "panes"), batch_clicks.parse_clicks(records)
     for part in thirds:
         topic.add(part)
     stream = batch_clicks.parse_clicks(topic.stream())
-    windows = clicks.windowed_item_sets(stream, "10 minutes", "1 day", "6 hours")
-    out = str(tmp_path / "windows")
-    runtime.finish(runtime.start_table(windows, out, str(tmp_path / "cp"), every=None))
-    got = {}
-    for r in spark.read.parquet(out).collect():
-        got.setdefault((r["user_id"], r["window_start"]), []).extend(r["clicks"])
-    got = {key: sorted(found) for key, found in got.items()}
-    history = batch_clicks.parse_clicks(records)
+    runtime.finish(clicks.start_item_panes(stream, out, str(tmp_path / "cp"), "10 minutes", "6 hours", every=None))
+    assert spark.read.parquet(out).agg(F.sum(F.size("clicks"))).first()[0] <= history.count()
+    got = {
+        (r["user_id"], r["window_start"]): r["clicks"]
+        for r in single_windows(clicks.read_item_runs(spark, out, "1 day", "6 hours"), "6 hours").collect()
+    }
     last = history.agg(F.max("ts")).first()[0]
     expected = {
         (r["user_id"], r["window_start"]): r["clicks"]
         for r in batch_clicks.user_item_windows(history, "1 day", "6 hours").collect()
     }
-    closed = {
-        k: v for k, v in expected.items()
-        if k[1] + datetime.timedelta(days=1) <= last - datetime.timedelta(minutes=10)
-    }
-    assert got == closed and len(closed) > 1000
+
+    def closed(windows):
+        end = last - datetime.timedelta(minutes=10) - datetime.timedelta(days=1)
+        return {k: v for k, v in windows.items() if k[1] <= end}
+
+    assert closed(got) == closed(expected) and len(closed(expected)) > 1000
+
+
+def test_panes_leave_the_state_and_keep_each_click_once(spark, topic, thirds, tmp_path):
+    out, checkpoint = str(tmp_path / "panes"), str(tmp_path / "cp")
+    for part in [*thirds[:2], thirds[1]]:  # the last batch comes once more
+        topic.add(part)
+    stream = batch_clicks.parse_clicks(topic.stream())
+    query = clicks.start_item_panes(stream, out, checkpoint, "10 minutes", every=None)
+    runtime.finish(query)
+    assert runtime.STATE_STORE_SETTING and spark.conf.get(runtime.STATE_STORE_SETTING) != runtime.ROCKSDB_STORE
+    held = query.lastProgress["stateOperators"][0]
+    assert held["numRowsTotal"] < 10 and "rocksdb" in str(held["customMetrics"]).lower()
+    kept = spark.read.parquet(out).select(F.explode("clicks")).count()
+    assert kept <= 666 and kept + held["numRowsTotal"] >= 660
+
+
+def click_rows(spark, *rows):
+    start = datetime.datetime(2024, 1, 1)
+    made = [(u, start + datetime.timedelta(minutes=m), i) for u, m, i in rows]
+    return spark.createDataFrame(made, "user_id STRING, ts TIMESTAMP, item INT")
+
+
+def test_a_pair_expires_and_comes_back(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / name) for name in ("in", "visits", "cp"))
+    batches = [
+        [("a", 0, 1), ("a", 5, 1), ("a", 5, 2), ("b", 40, 1)],
+        [("a", 60, 1), ("a", 69, 1), ("b", 45, 1), ("z", 200, 9)],
+    ]
+    first = None
+    for rows in batches:
+        click_rows(spark, *rows).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("user_id STRING, ts TIMESTAMP, item INT").parquet(source)
+        runtime.finish(clicks.start_item_visits(stream, out, checkpoint, "10 minutes", "1 minute", every=None))
+        first = first or spark.read.parquet(out).collect()
+    start = datetime.datetime(2024, 1, 1)
+    minutes = lambda t: (t - start).seconds // 60
+    seen = lambda rows: sorted((r["user_id"], r["item"], minutes(r["first_seen"]), minutes(r["expires"]), r["n"]) for r in rows)
+    assert seen(first) == [("a", 1, 0, 15, 2), ("a", 2, 5, 15, 1)]
+    visits = spark.read.parquet(out)
+    assert seen(visits.collect()) == [("a", 1, 0, 15, 2), ("a", 1, 60, 79, 2), ("a", 2, 5, 15, 1), ("b", 1, 40, 55, 2)]
+    at = lambda m: {r["user_id"]: r["items"] for r in clicks.living_items(visits, start + datetime.timedelta(minutes=m)).collect()}
+    assert at(14) == {"a": [1, 2]} and at(15) == {} and at(50) == {"b": [1]} and at(70) == {"a": [1]}
+
+
+def test_a_batch_is_replayed_under_its_number(spark, topic, thirds, tmp_path):
+    topic.add(thirds[0])
+    topic.add(thirds[1])
+    seen, fault = [], recovery.interrupted_after(1, times=2)
+
+    def start():
+        return runtime.start_batches(
+            topic.stream(), lambda b, n: seen.append((n, b.count())), str(tmp_path / "cp"), every=None, wrap=fault
+        )
+
+    assert recovery.run_through(start) == 2
+    assert seen == [(0, 333), (1, 333), (1, 333), (1, 333)]
+    topic.add(thirds[2])
+    with pytest.raises(StreamingQueryException):
+        recovery.run_through(lambda: runtime.start_batches(topic.stream(), lambda b, n: 1 / 0, str(tmp_path / "cp"), every=None), restarts=1)
+
+
+def test_ledger_shows_holes(spark):
+    rows = [(0, 0, 0, 5, 5), (1, 0, 5, 9, 4), (2, 0, 10, 12, 2), (0, 1, 3, 9, 5), (1, 1, 9, 10, 1)]
+    report = spark.createDataFrame(rows, "batch INT, partition INT, from_offset LONG, until_offset LONG, n LONG")
+    ledger = clicks.offset_ledger(report.withColumn("topic", F.lit("t"))).collect()
+    assert {(r["batch"], r["partition"]) for r in ledger if not r["follows"]} == {(2, 0), (0, 1)}
 
 
 def test_windows_read_from_the_click_table(spark, topic, thirds, records, tmp_path, plan_of):

@@ -102,6 +102,54 @@ def test_unfinished_compaction_is_not_seen(spark, table, tmp_path):
     assert state(table) == {("a", DAY): 2}
 
 
+def test_compaction_reads_no_other_month(spark, table):
+    for number in range(3):
+        table.add_batch(batch(spark, ("a", DAY, 1), ("b", NEXT, 1)), "q", number)
+    folded = table.to_fold(table.manifest(), "202401", {"q": 1})
+    assert len(folded.inputFiles()) == 2 and all("month=202401" in f for f in folded.inputFiles())
+    assert "FileScan" in folded._jdf.queryExecution().executedPlan().toString()
+    table.compact("202401")
+    read = table.counts("202401").inputFiles()
+    assert sorted(f.split("/words/")[1].rsplit("/", 1)[0] for f in read) == [
+        "bases/month=202401/version=1",
+        "deltas/query=q/batch=2/month=202401",
+    ]
+
+
+def test_a_reader_keeps_its_snapshot(spark, table):
+    for number in range(3):
+        table.add_batch(batch(spark, ("a", DAY, 1)), "q", number)
+    before = table.counts()
+    table.add_batch(batch(spark, ("a", DAY, 1)), "q", 3)
+    table.compact("202401")
+    assert before.first()["n"] == 3 and table.counts().first()["n"] == 4
+
+
+def test_log_holds_one_entry_a_compaction_and_old_ones_go(spark, table, tmp_path):
+    table.add_batch(batch(spark, ("a", DAY, 1)), "q", 0)
+    for number in range(1, 6):
+        table.add_batch(batch(spark, ("a", DAY, 1)), "q", number)
+        table.compact("202401")
+    log = lambda: sorted(p.name for p in (tmp_path / "words/log").iterdir() if not p.name.startswith("."))
+    assert len(log()) == 5 and table.manifest().folded == {"202401": {"q": 4}}
+    removed = table.remove_folded()
+    assert removed == 5 + 4 and len(log()) == 3, "five deltas, four bases"
+    assert state(table) == {("a", DAY): 6}
+    assert [p.name for p in (tmp_path / "words/bases/month=202401").iterdir()] == ["version=5"]
+
+
+def test_of_two_compactions_at_a_time_one_fails(spark, table, monkeypatch):
+    for number in range(2):
+        table.add_batch(batch(spark, ("a", DAY, 1)), "q", number)
+    stale = table.manifest()
+    table.compact("202401")
+    with monkeypatch.context() as patch:
+        patch.setattr(table, "manifest", lambda: stale)
+        with pytest.raises(RuntimeError, match="faster"):
+            table.compact("202401")
+    assert state(table) == {("a", DAY): 2}
+
+
 def test_failed_write_fails_the_batch(spark, table):
     with pytest.raises(Exception):
         table.add_batch(batch(spark, ("a", DAY, 1)).withColumn("n", F.raise_error(F.lit("no"))), "q", 0)
@@ -151,7 +199,7 @@ def test_frequent_word_is_split_in_the_join(spark, tmp_path, with_settings):
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.1",
         spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
     )
-    words = wordfreq.distinct_words(spark.read.parquet(str(tmp_path / "words")))
+    words = spark.read.parquet(str(tmp_path / "words"))
     hits = wordfreq.dictionary_hits(
         spark.read.parquet(path), words, "id", tokens=wordfreq.space_tokens(F.col("text"))
     )
@@ -159,6 +207,14 @@ def test_frequent_word_is_split_in_the_join(spark, tmp_path, with_settings):
     assert "skew=true" in hits._jdf.queryExecution().executedPlan().toString()
 
 
+def test_small_dictionary_is_broadcast_without_a_shuffle(spark, records, words, tmp_path):
+    words.write.parquet(str(tmp_path / "few"))
+    stored = spark.read.parquet(str(tmp_path / "few"))
+    hits = wordfreq.dictionary_hits(records, stored, "id", tokens=wordfreq.space_tokens(F.col("text")))
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "RoundRobin" not in plan
+
+
 @pytest.mark.parametrize(
     "reply, expected",
     [
