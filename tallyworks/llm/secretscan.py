@@ -14,14 +14,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed patterns of the base kinds, in their order, and what a match needs.
-ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?)([A-Za-z0-9+/_.=-]+)"""
+ASSIGN = r"""(?iu:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?)([A-Za-z0-9+/_.=-]+)"""
 ASSIGN_LEAST = 8
 ACCESS = r"AKIA[A-Z0-9]{12,}"  # a run that long or longer: shorter ones can't hold a longer one
 HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "random")
 
-# Tokens that the battery looks at.
-TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}"
+# Tokens that the battery looks at: 12 characters or more, but no plain words, small letters with a first one of
+# either case. A word of up to 20 letters can't reach an evidence of 2, the least limit there is for discoveries.
+TOKEN = r"(?<![A-Za-z0-9+/_-])(?![A-Za-z][a-z]{11,19}(?![A-Za-z0-9+/_=-]))[A-Za-z0-9+/_-]{12,}+={0,2}"
 
 # Alphabets by inferred encoding, the narrowest first.
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -51,30 +52,79 @@ STEPS, STEP = 4000, 0.1
 
 _SPAN = "array<struct<start: int, ord: int, end: int, value: string>>"
 
+# Code points of a text that are looked through to cut a piece out.
+_CHUNK = 4096
+
 
 def _with(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once."""
     return F.get(F.transform(F.array(value), use), 0)
 
 
+def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """What ``join``, which is associative and starts from 0, makes of each value and all before it.
+
+    Done in blocks of about the root of the number of values, and then over blocks, so that no long array is copied
+    for each of its elements.
+    """
+
+    def blocks(all_values: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(all_values))).cast("int")
+        return F.transform(F.sequence(F.lit(1), F.size(all_values), size), lambda at: block(F.slice(all_values, at, size)))
+
+    def start(kind: str) -> Column:
+        return F.struct(F.lit(0).alias("last"), F.array().cast(kind).alias("made"))
+
+    def block(some: Column) -> Column:
+        def step(acc: Column, value: Column) -> Column:
+            last = join(acc["last"], value)
+            return F.struct(last.alias("last"), F.concat(acc["made"], F.array(last)).alias("made"))
+
+        return F.aggregate(some, start("array<int>"), step)
+
+    def together(parts: Column) -> Column:
+        def step(acc: Column, part: Column) -> Column:
+            moved = F.transform(part["made"], lambda value: join(acc["last"], value))
+            return F.struct(join(acc["last"], part["last"]).alias("last"), F.concat(acc["made"], F.array(moved)).alias("made"))
+
+        return F.aggregate(parts, start("array<array<int>>"), step, lambda acc: F.flatten(acc["made"]))
+
+    found = _with(values, lambda all_values: _with(blocks(all_values), together))
+    return F.when(F.size(values) > 0, found).otherwise(F.array().cast("array<int>"))
+
+
 def _matches(text: Column, pattern: str, kind: int) -> Column:
     """Spans of the leftmost non-overlapping matches, by code points, with the matched texts."""
 
     def placed(both: Column) -> Column:
-        zipped = F.arrays_zip(F.slice(both["gaps"], F.lit(1), F.size(both["found"])).alias("gap"), both["found"].alias("match"))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans"))
+        gaps = F.slice(both["gaps"], F.lit(1), F.size(both["found"]))
+        ends = _running(F.zip_with(gaps, both["found"], lambda gap, match: F.length(gap) + F.length(match)), lambda a, b: a + b)
+        return F.zip_with(
+            ends,
+            both["found"],
+            lambda end, match: F.struct((end - F.length(match)).alias("start"), F.lit(kind).alias("ord"), end.alias("end"), match.alias("value")),
+        )
 
-        def step(acc: Column, x: Column) -> Column:
-            begin = acc["at"] + F.length(x["gap"])
-            end = begin + F.length(x["match"])
-            span = F.struct(begin.alias("start"), F.lit(kind).alias("ord"), end.alias("end"), x["match"].alias("value"))
-            return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    split = F.struct(F.split(text, pattern, -1).alias("gaps"), found.alias("found"))
+    return F.when(F.rlike(text, F.lit(pattern)), _with(split, placed)).otherwise(F.array().cast(_SPAN))
 
-        return F.aggregate(zipped, start, step, lambda acc: acc["spans"])
 
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    spans = _with(F.struct(F.split(text, pattern, -1).alias("gaps"), found.alias("found")), placed)
-    return F.when(F.rlike(text, F.lit(pattern)), spans).otherwise(F.array().cast(_SPAN))
+def _chunks(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_CHUNK}}}"), F.lit(0))
+
+
+def _cut(chunks: Column, start: Column, end: Column) -> Column:
+    """The text from ``start`` to before ``end``, in code points, from its ``_chunks``; only those in reach are looked through."""
+    first = F.floor(start / _CHUNK).cast("int")
+    reached = F.slice(chunks, first + 1, F.floor(end / _CHUNK).cast("int") - first + 1)
+
+    def part(chunk: Column, at: Column) -> Column:
+        before = (first + at) * _CHUNK
+        begin = F.greatest(start - before, F.lit(0))
+        return F.substring(chunk, begin + 1, F.least(end - before, F.lit(_CHUNK)) - begin)
+
+    return F.array_join(F.transform(reached, part), "")
 
 
 def base_spans(text: Column) -> Column:
@@ -90,10 +140,6 @@ def _tail(z: Column) -> Column:
     return F.greatest(F.when(z > 0, above).otherwise(1 - above), F.lit(1e-300))
 
 
-def _count(array: Column, condition: Callable[[Column], Column]) -> Column:
-    return F.size(F.filter(array, condition)).cast("double")
-
-
 def evidence(token: Column) -> Column:
     """-log10 of the probability that text makes a token look so random; 0 if it isn't random anyway.
 
@@ -102,7 +148,8 @@ def evidence(token: Column) -> Column:
     the number of runs above and below its middle, and the correlation of neighbours.
     Their probabilities are joined by Fisher's method. A token that passes is held against
     text: equal letters would be more frequent there, changes between
-    digits, capitals and small letters rarer. Both get stronger with length.
+    digits, capitals and small letters rarer. Both get stronger with length. A token is gone through
+    twice, in its own order and by letter, with a handful of sums.
     """
     plain = F.regexp_replace(token, "=", "")
     alphabet = F.lit(ENCODINGS[-1][1])
@@ -115,19 +162,42 @@ def evidence(token: Column) -> Column:
         runs = F.length(F.regexp_replace(kinds, r"(.)\1*", "r"))
         return F.struct(F.length(only).cast("double").alias("letters"), runs.cast("double").alias("runs"))
 
+    def zeros(*names: str) -> Column:
+        return F.struct(*[F.lit(0.0).alias(name) for name in names])
+
     def tested(t: Column) -> Column:
-        ids, k = t["ids"], t["k"]
-        n = F.size(ids).cast("double")
-        mean = F.aggregate(ids, F.lit(0.0), lambda a, x: a + x) / n
-        squares = F.aggregate(F.array_distinct(ids), F.lit(0.0), lambda a, d: a + F.pow(_count(ids, lambda x: x == d), F.lit(2)))
-        high = _count(ids, lambda x: x > k / 2)
-        neighbours = F.arrays_zip(F.slice(ids, F.lit(1), F.size(ids) - 1).alias("one"), F.slice(ids, F.lit(2), F.size(ids) - 1).alias("two"))
-        changes = _count(neighbours, lambda p: (p["one"] > k / 2) != (p["two"] > k / 2))
-        product = F.aggregate(neighbours, F.lit(0.0), lambda a, p: a + (p["one"] - mean) * (p["two"] - mean))
-        variance = F.aggregate(ids, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
+        def in_order(acc: Column, x: Column) -> Column:
+            high = F.when(x > t["k"] / 2, F.lit(1.0)).otherwise(F.lit(0.0))
+            begun = acc["n"] > 0
+            return F.struct(
+                (acc["n"] + 1).alias("n"),
+                (acc["sum"] + x).alias("sum"),
+                (acc["square"] + x * x).alias("square"),
+                (acc["high"] + high).alias("high"),
+                F.when(begun, acc["product"] + acc["last"] * x).otherwise(F.lit(0.0)).alias("product"),
+                F.when(begun & (acc["was_high"] != high), acc["changes"] + 1).otherwise(acc["changes"]).alias("changes"),
+                F.when(begun, acc["first"]).otherwise(x).alias("first"),
+                x.alias("last"),
+                high.alias("was_high"),
+            )
+
+        def by_letter(acc: Column, x: Column) -> Column:
+            run = F.when(acc["last"] == x, acc["run"] + 1).otherwise(F.lit(1.0))  # squares grow by odd numbers
+            return F.struct((acc["squares"] + 2 * run - 1).alias("squares"), run.alias("run"), x.alias("last"))
+
+        start = zeros("n", "sum", "square", "high", "product", "changes", "first", "last", "was_high")
+        letters = F.aggregate(F.array_sort(t["ids"]), zeros("squares", "run", "last"), by_letter, lambda acc: acc["squares"])
+        both = F.struct(F.aggregate(t["ids"], start, in_order).alias("o"), letters.alias("squares"), t["k"].alias("k"), t["c"].alias("c"))
+        return _with(both, summed)
+
+    def summed(b: Column) -> Column:
+        o = b["o"]
+        mean = o["sum"] / o["n"]
+        # the sums of products of centred neighbours and of centred squares
+        product = o["product"] - mean * (2 * o["sum"] - o["first"] - o["last"]) + (o["n"] - 1) * mean * mean
         sums = F.struct(
-            n.alias("n"), squares.alias("squares"), high.alias("high"), changes.alias("changes"),
-            product.alias("product"), variance.alias("variance"), k.alias("k"), t["c"].alias("c"),
+            o["n"].alias("n"), b["squares"].alias("squares"), o["high"].alias("high"), o["changes"].alias("changes"),
+            product.alias("product"), (o["square"] - o["sum"] * mean).alias("variance"), b["k"].alias("k"), b["c"].alias("c"),
         )
         return _with(sums, lambda m: _with(joined_tests(m), lambda log_p: compared(m, log_p)))
 
@@ -138,7 +208,7 @@ def evidence(token: Column) -> Column:
         both = 2 * m["high"] * (n - m["high"])
         spread = both * (both - n) / (n * n * (n - 1))
         runs = F.when(spread > 0, (m["changes"] - both / n) / F.sqrt(spread)).otherwise(F.lit(9.0))
-        serial = F.when(m["variance"] > 0, (m["product"] / m["variance"] + 1 / n) * F.sqrt(n)).otherwise(F.lit(9.0))
+        serial = F.when(m["variance"] > 1e-6, (m["product"] / m["variance"] + 1 / n) * F.sqrt(n)).otherwise(F.lit(9.0))
         return F.log(_tail(chi)) + F.log(2 * _tail(F.abs(runs))) + F.log(2 * _tail(F.abs(serial)))
 
     def compared(m: Column, log_p: Column) -> Column:
@@ -168,7 +238,9 @@ def discovery_limit(docs: DataFrame, share: float = FALSE_DISCOVERIES) -> float:
     """The least evidence to report, by Benjamini and Hochberg over all tokens of ``docs``.
 
     Of all tokens with at least that evidence, no more than ``share`` are expected
-    to be text. The driver gets the number of tokens for each step of evidence.
+    to be text: where ``above`` of ``total`` tokens are reported, the limit is ``-log10(share * above / total)``. More
+    tokens of text raise it, more secrets lower it, to 2 at least for a ``share`` of 0.01. The driver gets the number of
+    tokens for each step of evidence.
     """
     text = F.coalesce("text", F.lit(""))
     tokens = docs.where(F.rlike(text, F.lit(TOKEN))).select(F.explode(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))).alias("token"))
@@ -180,7 +252,7 @@ def discovery_limit(docs: DataFrame, share: float = FALSE_DISCOVERIES) -> float:
     for at in sorted(counts, reverse=True):
         above += counts[at]
         if at > 0 and 10 ** (-at * STEP) <= share * above / total:
-            limit = at * STEP
+            limit = -math.log10(share * above / total)
     return limit
 
 
@@ -188,13 +260,12 @@ def secret_spans(text: Column, limit: float) -> Column:
     """All spans of a text, by start and then kind; random ones only outside of the others."""
 
     def with_random(base: Column) -> Column:
-        tokens = F.filter(
-            _matches(text, TOKEN, 3),
-            lambda s: ~F.exists(base, lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])) & (evidence(s["value"]) >= limit),
-        )
+        # Blanks in place of base spans, so that no token lies in one and no token is held against each of them.
+        rest = F.when(F.size(base) > 0, _replaced(text, base, lambda n: F.repeat(F.lit(" "), n))).otherwise(text)
+        tokens = F.filter(_matches(rest, TOKEN, 3), lambda s: evidence(s["value"]) >= limit)
         return F.array_sort(F.concat(base, tokens))
 
-    return _with(base_spans(text), with_random)
+    return _with(F.array_sort(base_spans(text)), with_random)
 
 
 def _joined(spans: Column) -> Column:
@@ -227,20 +298,37 @@ def scan_secrets(docs: DataFrame, limit: float | None = None) -> DataFrame:
     )
 
 
-def redacted(text: Column, limit: float, mark: str = "[removed]") -> Column:
-    """``text`` with each span, or each row of overlapping spans, replaced by ``mark``."""
+def _replaced(text: Column, spans: Column, filler: Callable[[Column], Column]) -> Column:
+    """``text`` with a filler, made for its length, in place of each row of overlapping ``spans``, which come by start."""
 
-    def cut(spans: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+    def cut(rows: Column) -> Column:
+        given = F.struct(rows.alias("spans"), _running(F.transform(rows, lambda s: s["end"]), F.greatest).alias("upto"))
+        return _with(given, merged)
 
-        def step(acc: Column, s: Column) -> Column:
-            apart = s["start"] >= acc["at"]
-            kept = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-            parts = F.when(apart, F.concat(acc["parts"], F.array(kept, F.lit(mark)))).otherwise(acc["parts"])
-            return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), parts.alias("parts"))
+    def merged(g: Column) -> Column:
+        def apart(at: Column) -> Column:
+            """Whether the span at a place begins behind all before it, which reach furthest by ``upto``."""
+            return F.coalesce(F.get(g["spans"], at)["start"] >= F.get(g["upto"], at - 1), F.lit(True))
 
-        return F.aggregate(
-            spans, start, step, lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, F.length(text)))
-        )
+        starts = F.filter(g["spans"], lambda s, at: apart(at))
+        ends = F.filter(g["upto"], lambda end, at: apart(at + 1))
+        places = F.zip_with(starts, ends, lambda a, end: F.struct(a["start"].alias("start"), end.alias("end")))
+        return _with(F.struct(_chunks(text).alias("chunks"), places.alias("places")), joined)
+
+    def joined(g: Column) -> Column:
+        def piece(place: Column, at: Column) -> Column:
+            behind = F.coalesce(F.get(g["places"], at - 1)["end"], F.lit(0))
+            return F.concat(_cut(g["chunks"], behind, place["start"]), filler(place["end"] - place["start"]))
+
+        last = F.element_at(g["places"], -1)["end"]
+        return F.concat(F.array_join(F.transform(g["places"], piece), ""), _cut(g["chunks"], last, F.length(text)))
+
+    return _with(spans, cut)
 
-    return _with(secret_spans(text, limit), lambda spans: F.when(F.size(spans) > 0, cut(spans)).otherwise(text))
+
+def redacted(text: Column, limit: float, mark: str = "[removed]") -> Column:
+    """``text`` with each span, or each row of overlapping spans, replaced by ``mark``."""
+    return _with(
+        secret_spans(text, limit),
+        lambda spans: F.when(F.size(spans) > 0, _replaced(text, spans, lambda n: F.lit(mark))).otherwise(text),
+    )
