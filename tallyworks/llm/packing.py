@@ -9,14 +9,17 @@ length and looks the plan up.
 from __future__ import annotations
 
 import gc
+import json
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,19 +29,26 @@ from tallyworks.session import materialize
 CAPACITY = 2048
 END_OF_DOCUMENT = 0
 
-# Distinct words whose ids a Python worker keeps.
-WORDS_KEPT = 400_000
-UNITS_KEPT = 300_000
-# Pieces of one length that are numbered in one task.
-PIECES_PER_CHUNK = 20_000
+# Distinct units (see ``WordTokens``) whose ids a task keeps.
+UNITS_KEPT = 600_000
 
+# What the tokenizer does to text before it looks its vocabulary up, as its file says it: the shortcut of
+# ``WordTokens`` is for this alone. Fixed values.
+_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-# Words of printable ASCII without apostrophes and of Latin-1 letters: the tokenizer normalizes them
-# letter by letter and cuts them into these units. All others go through it whole.
-_LETTER = rb"[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]"
-_PLAIN = re.compile(rb"(?:[\x21-\x26\x28-\x7e]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
-_PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-_UNITS = re.compile(rb"(?:" + _LETTER + rb")+|[0-9]|[^A-Za-z0-9\xc3\x80-\xbf]+")
+# Texts of printable ASCII without apostrophes, of white space and of Latin-1 letters are normalized letter by letter and
+# cut into units: runs of letters, single digits, runs of anything else. Words with other characters are units themselves.
+_ASCII = bytes({*range(33, 127), *b" \t\n\x0b\x0c\r"} - {39})
+_LATIN = re.compile(rb"(?:\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])*")
+_UNITS = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff\s]+")
+
+
+def plain_units(text: bytes) -> list[str] | None:
+    """The units of a text that can be cut so, in small letters; else None."""
+    if b"<|" in text or _LATIN.fullmatch(text.translate(None, _ASCII)) is None:
+        return None
+    return _UNITS.findall(text.decode("utf-8").lower())
 
 
 def byte_letters() -> dict[int, str]:
@@ -48,11 +58,43 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def has_known_rules(path: str) -> bool:
+    """Whether a tokenizer file normalizes and splits text as ``WordTokens`` does."""
+    with open(path, encoding="utf-8") as file:
+        rules = json.load(file)
+    normalizer, splits = rules.get("normalizer") or {}, rules.get("pre_tokenizer") or {}
+    steps = splits.get("pretokenizers", [])
+    return (
+        normalizer.get("normalizers") == _NORMALIZER
+        and [x.get("type") for x in steps] == ["Split", "ByteLevel"]
+        and steps[0].get("pattern") == {"Regex": _SPLIT}
+        and (steps[0].get("behavior"), steps[0].get("invert")) == ("Removed", True)
+        and (steps[1].get("add_prefix_space"), steps[1].get("use_regex")) == (False, False)
+        and (rules.get("model") or {}).get("type") == "BPE"
+    )
+
+
+class _Units(dict):
+    """The place of each unit's ids; an unknown unit is encoded when it is asked for."""
+
+    def __init__(self, encode: Callable[[str | bytes], list[int]]):
+        self.encode = encode
+        self.flat, self.starts, self.lengths = array("I", [END_OF_DOCUMENT]), array("q", [0]), array("q", [1])
+
+    def __missing__(self, unit: str | bytes) -> int:
+        ids = self.encode(unit)
+        place = self[unit] = len(self.starts)
+        self.starts.append(len(self.flat))
+        self.lengths.append(len(ids))
+        self.flat.extend(ids)
+        return place
+
+
 class WordTokens:
-    """Ids of whitespace-separated words as one flat array, by word.
+    """Ids of texts, put together from the ids of their units.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are
-    the ids of its words. Each distinct word is encoded once, until the store is full.
+    The tokenizer drops white space and never joins across it, nor across the cuts between units. Each distinct unit is
+    encoded once, until the store is full. A tokenizer with other rules encodes each text whole.
     """
 
     def __init__(self, path: str):
@@ -60,96 +102,67 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.in_units = has_known_rules(path)
         self.by_byte = byte_letters()
-        self.units: dict[bytes, list[int]] = {}
-        self.forget()
-
-    def forget(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.flat = np.array([END_OF_DOCUMENT], np.uint32)
-        self.starts = np.array([0], np.int64)
-        self.lengths = np.array([1], np.int64)
-
-    def _unit(self, unit: bytes) -> list[int]:
-        units = self.units
-        found = units.get(unit)
-        if found is None:
-            if unit.isascii():
-                lower = unit.lower()
-                letters = lower.decode("ascii")
-            else:
-                lower = unit.decode("utf-8").lower().encode("utf-8")
-                letters = lower.decode("latin-1").translate(self.by_byte)
-            found = units.get(lower)
-            if found is None:
-                if len(units) >= UNITS_KEPT:
-                    units.clear()
-                found = units[lower] = [t.id for t in self.tokenizer.model.tokenize(letters)]
-        return found
-
-    def learn(self, words: set[bytes]) -> None:
-        """Encode new words. Most are letters with punctuation behind them, which fall into two units."""
-        new = list(words.difference(self.place))
-        if not new:
-            return
-        ids: list[list[int]] = []
-        others = []
-        unit = self._unit
-        for w in new:
-            core = w.rstrip(_PUNCTUATION)
-            if core.isalpha():
-                n = len(core)
-                ids.append(unit(core) if n == len(w) else unit(core) + unit(w[n:]))
-            elif _PLAIN.fullmatch(w) and b"<|" not in w:
-                ids.append([x for u in _UNITS.findall(w) for x in unit(u)])
-            else:
-                others.append(len(ids))
-                ids.append([])
-        coded = self.tokenizer.encode_batch_fast([new[i].decode("utf-8") for i in others], add_special_tokens=False)
-        for i, e in zip(others, coded):
-            ids[i] = e.ids
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        first = len(self.starts)
-        self.place.update(zip(new, range(first, first + len(new))))
-        self.starts = np.append(self.starts, len(self.flat) + np.cumsum(lengths) - lengths)
-        self.lengths = np.append(self.lengths, lengths)
-        self.flat = np.append(self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())))
+        self.units = _Units(self._encode)
+
+    def _encode(self, unit: str | bytes) -> list[int]:
+        """Of a unit in small letters, or of a whole word."""
+        if isinstance(unit, bytes):
+            return self.tokenizer.encode(unit.decode("utf-8"), add_special_tokens=False).ids
+        letters = unit if unit.isascii() else unit.encode("utf-8").decode("latin-1").translate(self.by_byte)
+        return [t.id for t in self.tokenizer.model.tokenize(letters)]
+
+    def _units_of(self, text: bytes) -> list[str | bytes]:
+        units = plain_units(text)
+        if units is not None:
+            return units
+        by_word = ((w, plain_units(w)) for w in words_of(text))
+        return [u for w, units in by_word for u in ((w,) if units is None else units)]
 
     def tokens(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each followed by the end id; and where each text's ids end."""
-        split = [words_of(t) for t in texts]
-        used = set().union(*split)
-        if len(self.place) + len(used) > WORDS_KEPT:
-            self.forget()
-        self.learn(used)
-        place = self.place
-        order: list[int] = []
-        for words in split:
-            order += map(place.__getitem__, words)
+        if not self.in_units:
+            coded = self.tokenizer.encode_batch_fast([t.decode("utf-8") for t in texts], add_special_tokens=False)
+            whole = [[*c.ids, END_OF_DOCUMENT] for c in coded]
+            return np.fromiter(chain.from_iterable(whole), np.uint32), np.cumsum([len(x) for x in whole])
+        if len(self.units) > UNITS_KEPT:
+            self.units = _Units(self._encode)
+        order, counts = array("q"), []
+        for text in texts:
+            before = len(order)
+            order.extend(map(self.units.__getitem__, self._units_of(text)))
             order.append(0)
-        at = np.array(order, np.int64)
-        lengths = self.lengths[at]
+            counts.append(len(order) - before)
+        at = np.frombuffer(order, np.int64)
+        lengths = np.frombuffer(self.units.lengths, np.int64)[at]
         upto = np.cumsum(lengths)
-        source = np.repeat(self.starts[at] - (upto - lengths), lengths) + np.arange(int(upto[-1]))
-        counts = np.fromiter(map(len, split), np.int64, len(split)) + 1
-        return self.flat[source], upto[np.cumsum(counts) - 1]
-
-
-_stores: dict[str, WordTokens] = {}
+        source = np.repeat(np.frombuffer(self.units.starts, np.int64)[at] - (upto - lengths), lengths) + np.arange(int(upto[-1]))
+        return np.frombuffer(self.units.flat, np.uint32)[source], upto[np.cumsum(counts) - 1]
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32`` (and ``ids``) of the pieces of each row of ``docs(doc_id, text)``.
+    """``doc_id, piece, start, length, ids_crc32, part, nth`` (and ``ids``) of the pieces of each row of ``docs(doc_id, text)``.
 
     A document is its ids and the end id; only one with more than ``capacity`` is
     cut, into pieces of ``capacity`` ids and a rest. ``ids_crc32`` is of the ids as little-endian unsigned
-    32-bit numbers. Null and empty texts have the end id alone.
+    32-bit numbers. Null and empty texts have the end id alone. ``part`` is the task, and ``nth`` numbers the pieces
+    of each length in it from 0. What a task keeps of units goes with the task; a very long text is taken whole.
     """
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long" + ", ids array<int>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # no cycles are made here, and looking for them in the stores takes a fifth of the time
-        store = _stores.get(tokenizer) or _stores.setdefault(tokenizer, WordTokens(tokenizer))
+        collecting = gc.isenabled()
+        gc.disable()  # no cycles are made here, and looking for them among the units takes a fifth of the time
+        try:
+            yield from coded(batches)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, part_id = WordTokens(tokenizer), TaskContext.get().partitionId()
+        seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for part in slices(batch):
                 ids, ends = store.tokens(encoded(part))
@@ -168,6 +181,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with
                     "start": pa.array(start, pa.int64()),
                     "length": pa.array(length, pa.int64()),
                     "ids_crc32": pa.array(crc, pa.int64()),
+                    "part": pa.array(np.full(len(row), part_id, np.int32)),
+                    "nth": pa.array(numbered(length, seen)),
                 }
                 if with_ids:
                     bounds = np.append(at, len(ids)).astype(np.int32)  # pieces follow each other without gaps
@@ -177,6 +192,18 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
+def numbered(lengths: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """The number of each piece among those of its length, going on from ``seen``, which is brought up to date."""
+    order = np.argsort(lengths, kind="stable")
+    in_order = lengths[order]
+    first = np.flatnonzero(np.diff(in_order, prepend=-1))
+    counts = np.diff(np.append(first, len(in_order)))
+    numbers = np.empty(len(lengths), np.int64)
+    numbers[order] = np.arange(len(lengths)) - np.repeat(first, counts) + seen[in_order]
+    seen[in_order[first]] += counts
+    return numbers
+
+
 class OpenBins:
     """A segment tree over remaining capacities: is there an open bin with so much room?"""
 
@@ -255,37 +282,29 @@ def best_fit_plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, i
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """The pieces of ``token_pieces`` with ``sequence_id`` and ``offset``, best-fit decreasing over the whole table.
 
-    Sequences are gapless from offset 0 and hold at most ``capacity`` ids. Null texts and
+    Sequences are gapless from offset 0 and hold at most ``capacity`` ids. Null texts, null ids and
     repeated rows are packed like others; an empty table gives an empty result; other columns are not read. The driver sees one
-    row for each length. Pieces of one length, were they a third of all, are numbered in chunks.
+    row for each length. Pieces are numbered where they are made, and tasks then get their share of the numbers of each
+    length, so there is no large group, were all rows alike. The plan that is broadcast has a row for each time that a length meets a room, at
+    most ``capacity`` squared and in fact some thousand.
     """
     spark = docs.sparkSession
     pieces = materialize(token_pieces(docs, tokenizer, capacity, with_ids), "pieces")
-    histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    plan = best_fit_plan(histogram, capacity)
-    chunks = max(1, -(-max(histogram.values(), default=1) // PIECES_PER_CHUNK) * 2)
-    chunked = pieces.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(chunks)).cast("int"))
-    before = Window.partitionBy("length").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        chunked.groupBy("length", "chunk")
-        .agg(F.count("*").alias("n"))
-        .select("length", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ranked"))
-    )
-    inside = Window.partitionBy("length", "chunk").orderBy("doc_id", "piece")
+    shares = materialize(pieces.groupBy("length", "part").agg(F.count("*").alias("n")), "shares")
+    histogram = {r["length"]: r["n"] for r in shares.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = shares.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ranked"))
     schema = "length long, from_rank long, to_rank long, first_sequence long, per_sequence long, base long"
-    planned = F.broadcast(spark.createDataFrame(plan, schema))
-    within = F.col("rank") - F.col("from_rank")
-    out = [c for c in pieces.columns]
+    planned = F.broadcast(spark.createDataFrame(best_fit_plan(histogram, capacity), schema))
     return (
-        chunked.withColumn("place", F.row_number().over(inside))
-        .join(starts, ["length", "chunk"])
-        .withColumn("rank", F.col("ranked") + F.col("place") - 1)
+        pieces.join(starts, ["length", "part"])
+        .withColumn("rank", F.col("ranked") + F.col("nth"))
         .join(planned, "length")
         .where((F.col("rank") >= F.col("from_rank")) & (F.col("rank") < F.col("to_rank")))
-        .withColumn("nth", within)
+        .withColumn("within", F.col("rank") - F.col("from_rank"))
         .select(
-            *out,
-            F.expr("first_sequence + nth div per_sequence").alias("sequence_id"),
-            F.expr("base + (nth % per_sequence) * length").alias("offset"),
+            *[c for c in pieces.columns if c not in ("part", "nth")],
+            F.expr("first_sequence + within div per_sequence").alias("sequence_id"),
+            F.expr("base + (within % per_sequence) * length").alias("offset"),
         )
     )

@@ -62,6 +62,8 @@ def test_word_tokens_equal_whole_texts():
         "<|endoftext|> x<|startoftext|>y <|z|>",
         "日本語 テスト 🙂   　 x\u0085y",
         "½ ² ①… —“quoted”—",
+        "ÀÖØÞ×÷ßÿ a×b Éa\u0301 e\u0301 ÷",
+        "plain, Text1 (2)\x0bwith\x0cspaces\r\n",
         "",
     ]
     store = packing.WordTokens(tokenizer_path())
@@ -70,6 +72,32 @@ def test_word_tokens_equal_whole_texts():
         assert part.tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [0]
 
 
+def test_other_tokenizers_encode_whole_texts(tmp_path, docs_of):
+    text = open(tokenizer_path(), encoding="utf-8").read()
+    other = tmp_path / "other.json"
+    other.write_text(text.replace('{"type":"Lowercase"}', '{"type":"NFKC"}').replace('"type": "Lowercase"', '"type": "NFKC"'), encoding="utf-8")
+    assert packing.has_known_rules(tokenizer_path()) and not packing.has_known_rules(str(other))
+    tokenizer, texts = Tokenizer.from_file(str(other)), ["Some Text, ONE two", "", "ﬁne ½"]
+    rows = packing.pack_documents(docs_of(texts), str(other), with_ids=True).collect()
+    assert {r.doc_id: r.ids for r in rows} == {i: tokenizer.encode(t, add_special_tokens=False).ids + [0] for i, t in enumerate(texts)}
+
+
+def test_numbers_by_length_go_on_between_slices():
+    seen, found = np.zeros(6, np.int64), defaultdict(list)
+    for lengths in ([3, 1, 3, 5], [3], [], [1, 1, 5, 3]):
+        for length, number in zip(lengths, packing.numbered(np.array(lengths, np.int64), seen).tolist()):
+            found[length].append(number)
+    assert found == {1: [0, 1, 2], 3: [0, 1, 2, 3], 5: [0, 1]}
+
+
+def test_null_and_repeated_ids(docs_of):
+    docs = docs_of(["a b c"] * 5 + [None, None]).selectExpr("CAST(NULL AS LONG) AS doc_id", "text")
+    rows = packing.pack_documents(docs.unionByName(docs_of(["a b c"] * 3).select("doc_id", "text")).repartition(3), tokenizer_path(), 8).collect()
+    assert len(rows) == 10 and sorted(r.length for r in rows) == [1, 1] + [4] * 8
+    places = [(r.sequence_id, r.offset) for r in rows]
+    assert len(set(places)) == 10 and len({s for s, _ in places}) == 5
+
+
 @pytest.mark.parametrize("capacity", [16, 2048])
 def test_pieces_and_places(docs_of, capacity):
     texts = ODD_TEXTS + ["word " * n for n in range(0, 40, 3)]
