@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyworks.llm.words import free_name
+
 # Fixed patterns of the base kinds, in their order, and what a match needs.
 ASSIGN = r"""(?iu:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?)([A-Za-z0-9+/_.=-]+)"""
 ASSIGN_LEAST = 8
@@ -256,16 +258,36 @@ def discovery_limit(docs: DataFrame, share: float = FALSE_DISCOVERIES) -> float:
     return limit
 
 
+def _random_spans(rest: Column, limit: float) -> Column:
+    return F.filter(_matches(rest, TOKEN, 3), lambda s: evidence(s["value"]) >= limit)
+
+
+def _blanked(text: Column, spans: Column) -> Column:
+    """``text`` with blanks in place of ``spans``, so that no token lies in one and none is held against each of them."""
+    return F.when(F.size(spans) > 0, _replaced(text, spans, lambda n: F.repeat(F.lit(" "), n))).otherwise(text)
+
+
 def secret_spans(text: Column, limit: float) -> Column:
     """All spans of a text, by start and then kind; random ones only outside of the others."""
+    return _with(
+        F.array_sort(base_spans(text)),
+        lambda base: F.array_sort(F.concat(base, _random_spans(_blanked(text, base), limit))),
+    )
 
-    def with_random(base: Column) -> Column:
-        # Blanks in place of base spans, so that no token lies in one and no token is held against each of them.
-        rest = F.when(F.size(base) > 0, _replaced(text, base, lambda n: F.repeat(F.lit(" "), n))).otherwise(text)
-        tokens = F.filter(_matches(rest, TOKEN, 3), lambda s: evidence(s["value"]) >= limit)
-        return F.array_sort(F.concat(base, tokens))
 
-    return _with(F.array_sort(base_spans(text)), with_random)
+def with_spans(docs: DataFrame, limit: float, name: str) -> DataFrame:
+    """``docs`` with ``secret_spans`` of their text, null counting as empty, in a column ``name``.
+
+    Column by column, as Spark resolves deeply nested functions level by level and stops after a hundred.
+    """
+    base, rest = free_name(docs, "_base"), free_name(docs, "_rest")
+    text = F.coalesce("text", F.lit(""))
+    return (
+        docs.withColumn(base, F.array_sort(base_spans(text)))
+        .withColumn(rest, _blanked(text, F.col(base)))
+        .withColumn(name, F.array_sort(F.concat(F.col(base), _random_spans(F.col(rest), limit))))
+        .drop(base, rest)
+    )
 
 
 def _joined(spans: Column) -> Column:
@@ -284,7 +306,7 @@ def scan_secrets(docs: DataFrame, limit: float | None = None) -> DataFrame:
     """
     if limit is None:
         limit = discovery_limit(docs)
-    found = docs.select("doc_id", secret_spans(F.coalesce("text", F.lit("")), limit).alias("found"))
+    found = with_spans(docs.select("doc_id", "text"), limit, "found")
 
     def number(kind: int) -> Column:
         return F.size(F.filter("found", lambda s: s["ord"] == kind)).cast("long")
@@ -328,7 +350,14 @@ def _replaced(text: Column, spans: Column, filler: Callable[[Column], Column]) -
 
 def redacted(text: Column, limit: float, mark: str = "[removed]") -> Column:
     """``text`` with each span, or each row of overlapping spans, replaced by ``mark``."""
-    return _with(
-        secret_spans(text, limit),
-        lambda spans: F.when(F.size(spans) > 0, _replaced(text, spans, lambda n: F.lit(mark))).otherwise(text),
-    )
+    return _with(secret_spans(text, limit), lambda spans: _marked(text, spans, mark))
+
+
+def _marked(text: Column, spans: Column, mark: str) -> Column:
+    return F.when(F.size(spans) > 0, _replaced(text, spans, lambda n: F.lit(mark))).otherwise(text)
+
+
+def with_redacted(docs: DataFrame, limit: float, name: str, mark: str = "[removed]") -> DataFrame:
+    """``docs`` with their ``redacted`` text in a column ``name``; null stays null."""
+    spans = free_name(docs, "_spans")
+    return with_spans(docs, limit, spans).withColumn(name, _marked(F.col("text"), F.col(spans), mark)).drop(spans)
