@@ -32,9 +32,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with a mark in place of each secret; ``n_chars`` follows the text."""
-    text = secretscan.redacted(F.col("text"), secretscan.discovery_limit(docs))
     name = free_name(docs, "_clean")
-    clean = docs.withColumn(name, text)
+    clean = secretscan.with_redacted(docs, secretscan.discovery_limit(docs), name)
     if "n_chars" in docs.columns:
         changed = F.coalesce(F.col(name) != F.col("text"), F.lit(False))
         clean = clean.withColumn("n_chars", F.when(changed, F.length(name).cast("long")).otherwise(F.col("n_chars")))
