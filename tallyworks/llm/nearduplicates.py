@@ -73,6 +73,10 @@ def _lowered_shingles(text: bytes, width: int, hashes: WordHashes) -> np.ndarray
     return shingle_hashes(words_of(text.lower()), width, hashes)  # bytes.lower is A-Z only
 
 
+def _set_key(shingles: np.ndarray) -> bytes | None:
+    return xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
+
+
 def signatures(docs: DataFrame, width: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``doc_id, n_shingles, set_key, bands``: a 128-bit key of the shingle set and its band keys.
 
@@ -87,7 +91,7 @@ def signatures(docs: DataFrame, width: int, bands: int = BANDS, rows: int = ROWS
                 for text in encoded(part):
                     shingles = _lowered_shingles(text, width, hashes)
                     sizes.append(len(shingles))
-                    keys.append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
+                    keys.append(_set_key(shingles))
                     values.append(band_keys(signature(shingles, bands * rows), bands) if len(shingles) else [])
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -104,7 +108,7 @@ def signatures(docs: DataFrame, width: int, bands: int = BANDS, rows: int = ROWS
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, shingles``: the sorted 64-bit hashes of each row's set."""
+    """``set_key, shingles`` of each row of ``docs(text)``: the key of its set, and the sorted 64-bit hashes in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -113,15 +117,16 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
                 sets = [_lowered_shingles(t, width, hashes) for t in encoded(part)]
                 ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
                 values = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))
-                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "shingles": values})
+                keys = [_set_key(x) for x in sets]
+                yield pa.RecordBatch.from_pydict({"set_key": pa.array(keys, pa.binary()), "shingles": values})
 
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, "doc_id long, shingles array<long>")
+    return docs.select(F.col("text").cast("string")).mapInArrow(run, "set_key binary, shingles array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those ``pairs(a, b)`` whose full sets are similar: 100 * intersection >= percent * union."""
-    joined = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a")), "a").join(
-        sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b")), "b"
+    joined = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("of_a")), "a").join(
+        sets.select(F.col("rep").alias("b"), F.col("shingles").alias("of_b")), "b"
     )
     common = F.size(F.array_intersect("of_a", "of_b"))
     return joined.where((100 + percent) * common >= percent * (F.size("of_a") + F.size("of_b"))).select("a", "b")
@@ -180,7 +185,7 @@ def links_in_blocks(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     met = rest.select("bucket", "rep").join(members, "rep").select("bucket", "area", "block").distinct()
     pairs = met.select("bucket", "area", F.col("block").alias("one")).join(met.select("bucket", F.col("block").alias("two")), "bucket")
     pairs = materialize(pairs.where("one <= two").select("area", "one", "two").distinct(), "block-pairs")
-    texts = members.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    texts = members.join(sets, "rep")
     sides = [
         texts.join(pairs.withColumn("block", F.col(side)).where("one < two" if n else "true"), ["area", "block"]).withColumn("side", F.lit(n))
         for n, side in enumerate(("one", "two"))
@@ -240,13 +245,14 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = SIMILAR_
     ``kept`` whether that is its own.
 
     Null and empty texts have empty sets and are linked with nothing. Rows without an id are kept and have no component.
-    Repeated rows give repeated results. Other columns are not read, an empty table gives an empty result.
+    Repeated rows give repeated results; an id with several texts is one document, linked by any of them. A very long
+    text has a long set, which is held whole where it is made and where it is compared. Other columns are not read, an empty table gives an empty result.
     """
     signed = materialize(signatures(docs, width), "signatures")
     sets_only = signed.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
-    classes = sets_only.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    # Equal sets have equal bands; copies meet on the map side already.
-    whole = sets_only.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    # Equal sets are one class, with a number, ``rep``; copies meet on the map side already.
+    whole = sets_only.groupBy("set_key").agg(F.min("doc_id").alias("least_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    whole = materialize(whole.withColumn("rep", F.monotonically_increasing_id()), "classes")
     rows = whole.select("rep", "n", F.explode("bands").alias("bucket"))
     order = Window.partitionBy("bucket").orderBy("n", "rep")
     member = F.struct("rep", "n")
@@ -259,12 +265,13 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = SIMILAR_
         F.lead("rep").over(order).alias("next"),
     )
     buckets = materialize(ranked.where("rank > 1 OR next IS NOT NULL").drop("next"), "buckets")
-    ids = buckets.select(F.col("member.rep").alias("doc_id")).distinct()
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = materialize(shingle_sets(own.join(ids, "doc_id", "left_semi"), width).dropDuplicates(["doc_id"]), "sets")
+    wanted = whole.join(buckets.select("member.rep").distinct(), "rep", "left_semi").select("set_key", "rep", "least_id")
+    own = docs.select(F.col("doc_id").cast("long").alias("least_id"), "text")
+    texts = own.join(wanted.select("least_id"), "least_id", "left_semi")
+    sets = materialize(shingle_sets(texts, width).join(wanted, "set_key").dropDuplicates(["set_key"]).select("rep", "shingles"), "sets")
 
     def as_pairs(found: DataFrame) -> DataFrame:
-        """Distinct pairs, smaller id first, from columns member and other."""
+        """Distinct pairs, smaller number first, from columns member and other."""
         one, other = F.col("member.rep"), F.col("other.rep")
         return found.where(one != other).select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).distinct()
 
@@ -278,12 +285,17 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = SIMILAR_
     split = sizes.where((F.col("least") < F.col("most")) & (F.col("n") > ALL_COMPARED))
     rest = materialize(labelled.join(split.select("bucket"), "bucket", "left_semi"), "rest")
     more = materialize(links_in_blocks(rest, sets, percent), "edges")
-    if not more.isEmpty():
-        joined = components(edges.unionByName(more))
-    named = classes.join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
-        "set_key", F.coalesce("component", "rep").alias("component")
-    )
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    edges = edges.unionByName(more)
+    same = _of_one_id(sets_only, whole)
+    if same is not None:
+        edges = edges.unionByName(same)
+    if same is not None or not more.isEmpty():
+        joined = components(edges)
+    named = whole.select("set_key", "rep", "least_id").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+    named = named.select("set_key", "least_id", F.coalesce("component", "rep").alias("component"))
+    least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    named = named.select("set_key", "component").join(least, "component").select("set_key", "component_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return signed.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left").select(
         "doc_id",
         "n_shingles",
@@ -292,6 +304,18 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = SIMILAR_
     )
 
 
+def _of_one_id(sets_only: DataFrame, whole: DataFrame) -> DataFrame | None:
+    """``a, b``: links between the sets of an id that has several; None if there is none."""
+    several = sets_only.groupBy("doc_id").agg(F.min("set_key").alias("one"), F.max("set_key").alias("other")).where("one < other")
+    several = materialize(several.select("doc_id"), "repeated-ids")
+    if several.isEmpty():
+        return None
+    held = sets_only.join(several, "doc_id", "left_semi").select("doc_id", "set_key").distinct()
+    held = held.join(whole.select("set_key", "rep"), "set_key").select("doc_id", "rep")
+    first = held.groupBy("doc_id").agg(F.min("rep").alias("b"))
+    return held.join(first, "doc_id").where("rep > b").select(F.col("rep").alias("a"), "b")
+
+
 def representatives(docs: DataFrame, width: int = WIDTH, percent: int = SIMILAR_PERCENT) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, that of the smallest id, and all its columns.
 

@@ -119,3 +119,14 @@ def test_null_ids_and_repeated_rows(docs_of):
 
 def test_empty_table(docs_of):
     assert nd.near_duplicates(docs_of([])).collect() == []
+
+
+def test_an_id_with_several_texts_is_linked_by_each(docs_of):
+    rng = random.Random(5)
+    one, two, three = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(3))
+    rows = [(5, one), (5, two), (2, one + " end"), (9, two + " end"), (7, three), (7, three), (8, three), (4, None), (4, one)]
+    docs = docs_of([]).sparkSession.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for _ in range(2):
+        got = {(r.doc_id, r.component_id, r.kept) for r in nd.near_duplicates(docs).collect() if r.n_shingles}
+        assert got == {(5, 2, False), (2, 2, True), (9, 2, False), (7, 7, True), (8, 7, False), (4, 2, False)}
+    assert sorted(r.doc_id for r in nd.representatives(docs).collect()) == [2, 7]
