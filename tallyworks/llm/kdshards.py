@@ -4,8 +4,8 @@ Each node of the tree is cut at the weighted median of its widest dimension, so
 that both sides hold bytes in proportion to their leaves, until every leaf is a
 shard. Medians are found by histograms that Spark sums over all rows; the driver
 sees one row for each node. A dimension's key has the value in its upper half and a
-hash of the document in its lower half: rows of equal value, were they a third of
-all rows, can be cut anywhere.
+hash of the document and its row in the lower half: rows of equal value, were they a third of
+all rows or copies of one row, can be cut anywhere.
 """
 
 from __future__ import annotations
@@ -29,7 +29,10 @@ _HALF = 1 << 31
 
 
 def metadata(docs: DataFrame) -> DataFrame:
-    """``doc_id, size, text_crc32, hash`` and the values of the dimensions from 0 to 2^31-1."""
+    """``doc_id, size, text_crc32, hash`` and the values of the dimensions from 0 to 2^31-1.
+
+    ``hash`` differs between repeated rows too; it holds once the rows are stored.
+    """
     text = F.coalesce("text", F.lit(""))
     size = F.octet_length(text).cast("long") + ROW_OVERHEAD
 
@@ -40,7 +43,7 @@ def metadata(docs: DataFrame) -> DataFrame:
         "doc_id",
         size.alias("size"),
         F.crc32(text).alias("text_crc32"),
-        F.pmod(F.xxhash64("doc_id", F.crc32(text)), F.lit(1 << 32)).alias("hash"),
+        F.pmod(F.xxhash64("doc_id", F.crc32(text), F.monotonically_increasing_id()), F.lit(1 << 32)).alias("hash"),
         code("source").alias("v_source"),
         code("lang").alias("v_lang"),
         F.least(size, F.lit(_HALF - 1)).alias("v_size"),
@@ -141,7 +144,8 @@ def shard_documents(docs: DataFrame, shards: int) -> DataFrame:
     The law is ``bytes``: the shards' sums of ``size`` (UTF-8 bytes of the text
     and 16) are near equal, off by a document or so. ``slot`` numbers the rows of
     a shard from 0; ``grown_shard`` is null. Null texts count as empty, null metadata as one more
-    value, repeated rows each get a slot, and other columns are not read. With
+    value, repeated rows each get a slot and are dealt out like others, a very long text
+    makes its shard as much too large, and other columns are not read. With
     fewer documents than shards some shards stay empty; an empty table gives an
     empty result. The tree's cuts, some 20 bytes for each shard and level, travel in the plan.
     """

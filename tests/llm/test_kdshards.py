@@ -2,6 +2,8 @@ import re
 import zlib
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from tallyworks.llm import kdshards
 
 from .conftest import ODD_TEXTS
@@ -41,5 +43,19 @@ def test_repeated_rows_and_nulls(docs_of):
     assert len(rows) == 8 and len({(r.shard, r.slot) for r in rows}) == 8
 
 
+def test_copies_of_one_row_are_balanced(docs_of):
+    docs = docs_of([f"text {i}" for i in range(2000)])
+    copy = docs.where("doc_id = 7").withColumn("text", F.lit("the same " * 12)).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(1000)))).drop("n")
+    rows = kdshards.shard_documents(docs.unionByName(copy), 8).collect()
+    sizes, slots = defaultdict(int), defaultdict(list)
+    for r in rows:
+        sizes[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    mean = sum(sizes.values()) / 8
+    assert len(rows) == 3000 and len(sizes) == 8
+    assert all(abs(s - mean) <= 3 * 124 + 0.01 * mean for s in sizes.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_empty_table(docs_of):
     assert kdshards.shard_documents(docs_of([]), 5).collect() == []
