@@ -21,6 +21,8 @@ from tallyworks.llm.words import slices
 
 # At most so many pages are collected for training, those of smallest hash, and pages made up from them.
 TRAINING_PAGES, MADE_PAGES = 240, 1800
+# Pages of more characters are not trained on.
+TRAINING_CHARS = 200_000
 EPOCHS, RATE = 10, 0.012
 SEED = 11
 
@@ -144,15 +146,16 @@ def made_page(rng: np.random.Generator, texts: list[str]) -> list[Block]:
     return out
 
 
-def train_labeller(pages: DataFrame, most_pages: int = TRAINING_PAGES, made: int = MADE_PAGES) -> BlockLabeller:
+def train_labeller(pages: DataFrame, most_pages: int = TRAINING_PAGES, made: int = MADE_PAGES, most_chars: int = TRAINING_CHARS) -> BlockLabeller:
     """A labeller for ``pages(page_id, html)``.
 
-    At most ``most_pages`` pages, those whose id has the smallest hash, go to the driver, so that training has a bound at
-    any size. Without any page it learns from made-up pages alone.
+    At most ``most_pages`` pages of at most ``most_chars`` characters, those whose id has the smallest hash, go to the
+    driver, so that training has a bound at any size; of rows with one id, the smallest page. Without any such page it learns from made-up pages alone.
     """
-    chosen = pages.where("html IS NOT NULL AND page_id IS NOT NULL").select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(most_pages)
-    rows = pages.select("page_id", "html").join(F.broadcast(chosen), "page_id").where("html IS NOT NULL").toArrow()
-    rows = rows.sort_by([("page_id", "ascending"), ("html", "ascending")]).slice(0, most_pages)
+    usable = pages.where("page_id IS NOT NULL").where(F.length("html") <= most_chars).select("page_id", "html")
+    chosen = usable.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(most_pages)
+    rows = usable.join(F.broadcast(chosen), "page_id").groupBy("page_id").agg(F.min("html").alias("html")).toArrow()
+    rows = rows.sort_by([("page_id", "ascending")])
     rng = np.random.default_rng(SEED)
     real, texts = [], []
     for page in rows.column("html").to_pylist():

@@ -76,6 +76,22 @@ def test_gradients():
         assert abs((losses[0] - losses[1]) / 2e-2 - float((grad * direction).sum())) < 0.02 * (1 + abs(float((grad * direction).sum())))
 
 
+def test_training_reads_one_page_of_bounded_length_for_each_id(spark):
+    html = [f"<article><p>Text number {i} of some length, that goes on for a while, and then ends.</p></article><nav>menu</nav>" for i in range(6)]
+    own = pages(spark, html)
+    long = pages(spark, ["<article>" + "<p>word</p>" * 400 + "</article>"])
+    one, two, three = (
+        maintext.train_labeller(p, made=40, most_chars=2000).weights for p in (own, own.unionByName(own), long.unionByName(own))
+    )
+    assert all(np.array_equal(one[name], w) for weights in (two, three) for name, w in weights.items())
+
+
+def test_repeated_rows_stay(spark, model):
+    own = pages(spark, [PAGE, PAGE])
+    rows = maintext.extract_main_text(own.unionByName(own), model).collect()
+    assert len(rows) == 4 and len({r.text for r in rows}) == 1
+
+
 def test_long_pages_and_empty_table(spark, model):
     long = "<body><article>" + "".join(f"<p>Paragraph number {i} of a very long page.</p>" for i in range(3000)) + "</article>"
     row = maintext.extract_main_text(pages(spark, [long]), model).collect()[0]
