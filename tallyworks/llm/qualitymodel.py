@@ -117,27 +117,44 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most_rows: i
     """A model from the labelled rows of ``docs`` that are not held out; None if there are none.
 
     At most ``most_rows`` labels are used, those whose id has the smallest hash, so that
-    training has a bound at any size. Their whole texts go to the driver.
+    training has a bound at any size. Bags are made of whole texts in the tasks; the driver gets one bag, of at
+    most ``buckets`` numbers, for each id. Of an id with several texts the smallest bag is taken.
     """
     chosen = (
-        labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
+        labels.select(F.col("doc_id").cast("long"), label).where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
-        .agg(F.min(label).cast("int").alias("_label"))
+        .agg(F.min(label).cast("int").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most_rows)
     )
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "_label").toArrow()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                places, shares = [], []
+                for text in encoded(part):
+                    dense = bag(text, buckets)
+                    places.append(np.flatnonzero(dense))
+                    shares.append(dense[places[-1]])
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "doc_id": part.column("doc_id"),
+                        "label": part.column("label"),
+                        "places": pa.array(places, pa.list_(pa.int32())),
+                        "shares": pa.array(shares, pa.list_(pa.float32())),
+                    }
+                )
+
+    asked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    found = asked.mapInArrow(run, "doc_id long, label int, places array<int>, shares array<float>")
+    rows = found.groupBy("doc_id", "label").agg(F.min(F.struct("places", "shares")).alias("bag")).select("doc_id", "label", "bag.*").toArrow()
     if not rows.num_rows:
         return None
-    rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-    bags = np.empty((rows.num_rows, buckets), np.float32)
-    at = 0
-    for batch in rows.to_batches():
-        for part in slices(batch):
-            for text in encoded(part):
-                bags[at] = bag(text, buckets)
-                at += 1
-    return train(bags, rows.column("_label").to_numpy())
+    rows = rows.sort_by([("doc_id", "ascending")])
+    bags = np.zeros((rows.num_rows, buckets), np.float32)
+    for i, (places, shares) in enumerate(zip(rows.column("places"), rows.column("shares"))):
+        bags[i, places.values.to_numpy()] = shares.values.to_numpy()
+    return train(bags, rows.column("label").to_numpy())
 
 
 class WordScores:
@@ -197,8 +214,8 @@ def score_documents(docs: DataFrame, model: Model | None) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of each row of ``docs(doc_id, text)``.
 
     ``score`` is the softmax probability of label 1 and reads the whole text, nothing else.
-    Null and empty texts get what the bias says; without a model all scores are 0.5.
-    Repeated rows and null ids stay, other columns are not read, an empty table gives an empty result.
+    Null and empty texts get what the bias says; without a model all scores are 0.5, and 0.5 counts as label 1.
+    Very long texts are read whole, a slice of texts at a time. Repeated rows and null ids stay, other columns are not read, an empty table gives an empty result.
     """
     start = _scorer(model)
 
@@ -218,7 +235,11 @@ def score_documents(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: Model | None, least: float = 0.5) -> DataFrame:
-    """Those rows of ``docs`` with a score of ``least`` or more, with all their columns."""
+    """Those rows of ``docs`` with a score of ``least`` or more, with all their columns.
+
+    Without a model, so without a usable label, that is all rows at a ``least`` of 0.5 or under. Null and empty texts
+    go by the model's bias; repeated rows stay or go alike.
+    """
     start = _scorer(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tallyworks.llm import qualitymodel as qm
 
@@ -63,6 +64,20 @@ def test_fast_scores_equal_the_averaged_vectors(docs_of):
         assert abs(r.score - p[1] / p.sum()) < 1e-4
 
 
+def test_repeated_and_null_ids(spark, docs_of):
+    texts, labels = sample(60)
+    docs = docs_of(texts)
+    model = qm.fit(docs, labels_of(spark, labels))
+    again = qm.fit(docs.unionByName(docs), labels_of(spark, labels).unionByName(labels_of(spark, labels)))
+    assert np.array_equal(model.vectors, again.vectors)
+    other = docs.withColumn("text", F.lit("another text of the same id"))
+    one, two = (qm.fit(x.unionByName(y), labels_of(spark, labels)) for x, y in ((docs, other), (other, docs)))
+    assert np.array_equal(one.vectors, two.vectors)
+    nameless = docs.withColumn("doc_id", F.expr("IF(doc_id % 2 = 0, NULL, doc_id)"))
+    rows = qm.score_documents(nameless.unionByName(nameless), model).collect()
+    assert len(rows) == 120 and sum(r.doc_id is None and not r.held_out for r in rows) == 60
+
+
 def test_odd_texts_and_no_labels(spark, docs_of):
     texts, labels = sample(60)
     model = qm.fit(docs_of(texts), labels_of(spark, labels))
