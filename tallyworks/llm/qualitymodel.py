@@ -30,6 +30,7 @@ WORDS_KEPT = 400_000
 # It counts as often as a word has n-grams or so.
 REPEATED, REPEATED_COUNT = 0, 8
 
+_NEXT = np.uint64(0x2545F4914F6CDD1D)
 _WORD_SALT = np.uint64(0x51ED270B7F4A7C15)
 
 
@@ -39,26 +40,26 @@ def held_out(doc_id: Column) -> Column:
 
 
 def features(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each word its own bucket and those of its byte n-grams, with marks at both ends: (index of the word, bucket)."""
+    """For each word its own bucket and those of its character n-grams, with marks at both ends: (index of the word, bucket)."""
     if not words:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    joined = np.frombuffer(b"<" + b"><".join(words) + b">\0\0\0\0", np.uint8).astype(np.uint64)
-    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    marked = [f"<{w.decode(errors='replace')}>" for w in words]
+    joined = np.frombuffer(("".join(marked) + "\0" * max(GRAMS)).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    lengths = np.fromiter(map(len, marked), np.int64, len(words))
     ends = np.cumsum(lengths)
     word = np.repeat(np.arange(len(words)), lengths)
-    left = ends[word] - np.arange(len(word))  # bytes from here to the word's end
+    left = ends[word] - np.arange(len(word))  # characters from here to the word's end
     codes = joined[: len(word)].copy()
     owners, found = [], []
     for n in range(2, max(GRAMS) + 1):
-        codes |= joined[n - 1 : n - 1 + len(word)] << np.uint64(8 * (n - 1))
+        codes = codes * _NEXT + joined[n - 1 : n - 1 + len(word)]
         if n in GRAMS:
             whole = left >= n
             owners.append(word[whole])
             found.append(mixed(codes[whole] + np.uint64(n << 40)))
-    # The word itself: a polynomial of its bytes with odd powers, taken back to its start.
-    power = np.cumprod(np.full(len(word), 0x2545F4914F6CDD1D, np.uint64))
-    inverse = pow(0x2545F4914F6CDD1D, -1, 1 << 64)
-    back = np.cumprod(np.full(len(word), inverse, np.uint64))
+    # The word itself: a polynomial of its characters with odd powers, taken back to its start.
+    power = np.cumprod(np.full(len(word), _NEXT, np.uint64))
+    back = np.cumprod(np.full(len(word), pow(int(_NEXT), -1, 1 << 64), np.uint64))
     starts = ends - lengths
     own = np.add.reduceat(joined[: len(word)] * power, starts) * back[starts]
     owners.append(np.arange(len(words)))

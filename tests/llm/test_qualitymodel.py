@@ -64,6 +64,22 @@ def test_fast_scores_equal_the_averaged_vectors(docs_of):
         assert abs(r.score - p[1] / p.sum()) < 1e-4
 
 
+def test_ngrams_are_of_characters():
+    """Equal n-grams of any words share a bucket, others have their own; counted with plain string slices."""
+    words = ["жук", "жуки", "a", "naïve", "日本語", "😀x", "ab", "ba"]
+    owners, found = qm.features([w.encode() for w in words], 1 << 40)
+    buckets = {}
+    for i, w in enumerate(words):
+        marked = f"<{w}>"
+        grams = [(marked[at : at + n], n) for n in qm.GRAMS for at in range(len(marked) - n + 1)] + [(w, 0)]
+        own = found[owners == i]
+        assert len(own) == len(grams)
+        order = [b for n in (*qm.GRAMS, 0) for b in own[[k for k, g in enumerate(grams) if g[1] == n]]]
+        for gram, b in zip(grams, order):
+            assert buckets.setdefault(gram, b) == b
+    assert len(set(buckets.values())) == len(buckets)
+
+
 def test_repeated_and_null_ids(spark, docs_of):
     texts, labels = sample(60)
     docs = docs_of(texts)
