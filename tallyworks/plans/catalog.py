@@ -26,7 +26,14 @@ from tallyworks.operators import (
     timeuse,
     wordfreq,
 )
-from tallyworks.operators.grouping import integer_median
+from tallyworks.operators.grouping import (
+    SKETCH_RANK_ERROR,
+    integer_median,
+    merge_sketches,
+    quantile_sketches,
+    rank_errors,
+    sketch_quantile,
+)
 from tallyworks.plans import tables
 from tallyworks.session import materialize, new_folder
 from tallyworks.sinks.files import save_as_text
@@ -329,6 +336,23 @@ def group_median(spark: SparkSession, folder: str) -> DataFrame:
     return integer_median(_vectors(spark, folder), ["lx"], "hs")
 
 
+@query
+def group_median_sketched(spark: SparkSession, folder: str) -> DataFrame:
+    """Median prices in cents out of monthly sketches that are merged, held against all rows, and the exact ones."""
+    keys = ["l_returnflag", "l_linestatus"]
+    prices = tables.table(spark, folder, "lineitem").select(
+        *keys,
+        F.date_format("l_shipdate", "yyyy-MM").alias("month"),
+        F.round(F.col("l_extendedprice") * 100).cast("int").alias("cents"),
+    )
+    monthly = quantile_sketches(prices, [*keys, "month"], "cents")
+    answers = merge_sketches(monthly, keys).select(*keys, sketch_quantile(F.col("sketch")).alias("near"))
+    checked = rank_errors(prices, answers, keys, "cents", "near")
+    return checked.join(integer_median(prices, keys, "cents"), keys).select(
+        *keys, "n", "median", (F.col("rank_error") <= SKETCH_RANK_ERROR).alias("within_bound")
+    )
+
+
 @query
 def cluster_summary(spark: SparkSession, folder: str) -> DataFrame:
     summary = clustering.cluster_summary(

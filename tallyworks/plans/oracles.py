@@ -285,6 +285,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT ci, cx::INT AS cx, cy::INT AS cy FROM c{ROUNDS}""",
         "group_median": f"""WITH {VECTORS}
             SELECT lx, trunc(quantile_cont(hs, 0.5))::INT AS median FROM vectors GROUP BY lx""",
+        "group_median_sketched": """SELECT l_returnflag, l_linestatus, count(*) AS n,
+            trunc(quantile_cont(round(l_extendedprice * 100)::INT, 0.5))::INT AS median, TRUE AS within_bound
+            FROM lineitem GROUP BY l_returnflag, l_linestatus""",
         "cluster_summary": f"""WITH {VECTORS}, {START}, {_cluster_summary("c0")}
             SELECT ci, label, percent, size, median FROM clusters""",
         "posting_clusters": f"""WITH {VECTORS}, {POINTS}, {SAMPLED_START}, {ALL_ROUNDS},

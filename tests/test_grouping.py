@@ -5,7 +5,16 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallyworks.operators.grouping import collect_by_range, integer_median, range_piece
+from tallyworks.operators.grouping import (
+    SKETCH_RANK_ERROR,
+    collect_by_range,
+    integer_median,
+    merge_sketches,
+    quantile_sketches,
+    range_piece,
+    rank_errors,
+    sketch_quantile,
+)
 
 
 def truncated_median(values):
@@ -99,3 +108,53 @@ def test_one_shuffle_spreads_a_hot_key(spark, tmp_path, with_settings):
     rows = lists.collect()
     assert sorted(v for r in rows for v in r["vs"]) == list(range(60_000))
     assert max(len(r["vs"]) for r in rows) <= 1000
+
+
+def sketched(spark, groups, share=0.5):
+    """Rows with a part, and the answers of sketches by part that are merged."""
+    rows = [(key, i % 7, v) for key, values in groups.items() for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "k STRING, part INT, v INT")
+    merged = merge_sketches(quantile_sketches(df, ["k", "part"], "v"), ["k"])
+    return df, merged.select("k", sketch_quantile(F.col("sketch"), share).alias("near"))
+
+
+def test_merged_sketches_keep_the_bound(spark):
+    rng = random.Random(11)
+    groups = {
+        "uniform": [rng.randint(-(2**31), 2**31 - 1) for _ in range(20_000)],
+        "sorted": list(range(20_000)),
+        "few values": [rng.choice([1, 5, 5, 9]) for _ in range(9000)],
+        "skewed": [int(rng.paretovariate(0.6)) % 2**31 for _ in range(9000)],
+        "same": [4] * 3000,
+        "one": [-3],
+        None: list(range(500)),
+    }
+    for share in (0.05, 0.5, 0.99):
+        df, answers = sketched(spark, groups, share)
+        near = {r["k"]: r["near"] for r in answers.collect()}
+        assert all(near[k] in values for k, values in groups.items())
+        for key, values in groups.items():
+            below, upto = sum(v < near[key] for v in values), sum(v <= near[key] for v in values)
+            assert max(below - share * len(values), share * len(values) - upto, 0) <= SKETCH_RANK_ERROR * len(values) + 1
+        assert near["same"] == 4 and near["one"] == -3
+
+
+def test_rank_errors_by_hand(spark):
+    rows = spark.createDataFrame([(k, v) for k in ("a", None) for v in (1, 2, 2, 9, None)], "k STRING, v INT")
+    answers = spark.createDataFrame([("a", 9), (None, 2)], "k STRING, near INT")
+    errors = {r["k"]: (r["n"], r["rank_error"]) for r in rank_errors(rows, answers, ["k"], "v", "near").collect()}
+    assert errors == {"a": (4, 0.25), None: (4, 0.0)}
+
+
+def test_sketches_of_nulls_and_no_rows(spark):
+    df = spark.createDataFrame([("a", None), ("b", None), ("b", 3)], "k STRING, v INT")
+    sketches = quantile_sketches(df, ["k"], "v")
+    assert [tuple(r) for r in sketches.select("k", sketch_quantile(F.col("sketch"))).collect()] == [("b", 3)]
+    assert merge_sketches(quantile_sketches(df.limit(0), ["k"], "v"), ["k"]).collect() == []
+
+
+def test_sketches_are_combined_before_the_shuffle(spark, plan_of, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(1000).selectExpr("id % 3 AS k", "id % 5 AS part", "int(id) AS v").write.parquet(path)
+    plan = plan_of(merge_sketches(quantile_sketches(spark.read.parquet(path), ["k", "part"], "v"), ["k"]))
+    assert plan.count("partial_kll") == 2 and "EvalPython" not in plan
