@@ -13,6 +13,8 @@ from tallyworks.llm.htmlblocks import Block
 PATH_BUCKETS, LAST_BUCKETS, WORD_BUCKETS, NUMBERS = 128, 32, 32, 6
 INPUTS = PATH_BUCKETS + LAST_BUCKETS + WORD_BUCKETS + NUMBERS
 HIDDEN = 16
+# Blocks of one page, or cells of pages side by side, whose vectors are held at once.
+BLOCKS_AT_ONCE, CELLS_AT_ONCE = 4096, 40_000
 
 
 class Features:
@@ -70,6 +72,9 @@ class Features:
         return out
 
 
+State = tuple[np.ndarray, np.ndarray]
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
@@ -91,11 +96,10 @@ class BlockLabeller:
         w["out_bias"] = np.zeros(1)
         return cls({k: v.astype(np.float32) for k, v in w.items()})
 
-    def _run(self, x: np.ndarray, mask: np.ndarray, d: str, keep: list | None = None) -> np.ndarray:
-        """Hidden states of one direction over ``x`` of shape time, page, gates (inputs already weighed)."""
+    def _run(self, x: np.ndarray, mask: np.ndarray, d: str, keep: list | None = None, start: State | None = None) -> tuple[np.ndarray, State]:
+        """Hidden states of one direction over ``x`` of shape time, page, gates (inputs already weighed), and the state at its end."""
         steps, pages, _ = x.shape
-        h = np.zeros((pages, HIDDEN), np.float32)
-        c = np.zeros_like(h)
+        h, c = start or (np.zeros((pages, HIDDEN), np.float32), np.zeros((pages, HIDDEN), np.float32))
         out = np.zeros((steps, pages, HIDDEN), np.float32)
         recurrent = self.weights["recurrent_" + d]
         for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
@@ -111,14 +115,14 @@ class BlockLabeller:
             c = np.where(m, new_c, c)
             h = np.where(m, o * tanh_c, h)
             out[t] = h
-        return out
+        return out, (h, c)
 
     def logits(self, x: np.ndarray, mask: np.ndarray, keep: dict | None = None) -> np.ndarray:
         w = self.weights
         states = []
         for d in ("f", "b"):
             weighed = x.reshape(-1, INPUTS) @ w["inputs_" + d] + w["bias_" + d]
-            states.append(self._run(weighed.reshape(*x.shape[:2], -1), mask, d, None if keep is None else keep.setdefault(d, [])))
+            states.append(self._run(weighed.reshape(*x.shape[:2], -1), mask, d, None if keep is None else keep.setdefault(d, []))[0])
         hidden = np.concatenate(states, axis=2)
         if keep is not None:
             keep["hidden"] = hidden
@@ -182,19 +186,56 @@ class BlockLabeller:
             mean = float(np.mean(losses))
         return mean
 
-    def label(self, pages: list[np.ndarray], cells: int = 40_000) -> list[np.ndarray]:
+    def label(self, pages: list[np.ndarray], cells: int = CELLS_AT_ONCE) -> list[np.ndarray]:
         """Whether each block of each page is main text; pages of similar length are read together."""
         out: list[np.ndarray] = [np.zeros(0, bool)] * len(pages)
-        order = sorted((i for i in range(len(pages)) if len(pages[i])), key=lambda i: len(pages[i]))
-        while order:
-            longest = len(pages[order[-1]])
-            take = max(1, cells // longest)
-            group, order = order[-take:], order[:-take]
+        for group in _side_by_side([len(p) for p in pages], cells):
             z = self.logits(*padded([pages[i] for i in group]))
             for j, i in enumerate(group):
                 out[i] = z[: len(pages[i]), j] > 0
         return out
 
+    def label_blocks(self, pages: list[list[Block]], features: Features, cells: int = CELLS_AT_ONCE, at_once: int = BLOCKS_AT_ONCE) -> list[np.ndarray]:
+        """``label`` of blocks, with vectors for one group of pages at a time, and for a part of a page of over ``cells`` blocks."""
+        out: list[np.ndarray] = [np.zeros(0, bool)] * len(pages)
+        for group in _side_by_side([len(p) for p in pages], cells):
+            if len(pages[group[0]]) > cells:
+                kept = [self.label_long(pages[i], features, at_once) for i in group]
+            else:
+                everything = features.of([b for i in group for b in pages[i]])
+                kept = self.label(np.split(everything, np.cumsum([len(pages[i]) for i in group])[:-1]), cells)
+            for i, k in zip(group, kept):
+                out[i] = k
+        return out
+
+    def label_long(self, blocks: list[Block], features: Features, at_once: int = BLOCKS_AT_ONCE) -> np.ndarray:
+        """``label`` of one page read in parts, forward and then backward; each part begins in the state where the one before it ended.
+
+        The whole page counts for each block, but only the vectors of ``at_once`` blocks are held.
+        """
+        w = self.weights
+        z = np.full(len(blocks), w["out_bias"][0], np.float32)
+        begins = range(0, len(blocks), at_once)
+        for n, d in enumerate(("f", "b")):
+            state = None
+            for begin in begins if d == "f" else reversed(begins):
+                x = features.of(blocks[begin : begin + at_once])
+                weighed = (x @ w["inputs_" + d] + w["bias_" + d])[:, None, :]
+                hidden, state = self._run(weighed, np.ones(weighed.shape[:2], np.float32), d, start=state)
+                z[begin : begin + at_once] += hidden[:, 0] @ w["out"][n * HIDDEN : (n + 1) * HIDDEN]
+        return z > 0
+
+
+def _side_by_side(lengths: list[int], cells: int) -> list[list[int]]:
+    """Places of pages of similar length, together of about ``cells`` blocks with their padding; empty pages are left out."""
+    order = sorted((i for i, n in enumerate(lengths) if n), key=lambda i: lengths[i])
+    groups = []
+    while order:
+        take = max(1, cells // lengths[order[-1]])
+        groups.append(order[-take:])
+        del order[-take:]
+    return groups
+
 
 def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Pages side by side: vectors of shape time, page, input, and where they are."""

@@ -21,8 +21,8 @@ from tallyworks.llm.words import slices
 
 # At most so many pages are collected for training, those of smallest hash, and pages made up from them.
 TRAINING_PAGES, MADE_PAGES = 240, 1800
-# Pages of more characters are not trained on.
-TRAINING_CHARS = 200_000
+# Pages of more characters or blocks are not trained on.
+TRAINING_CHARS, TRAINING_BLOCKS = 200_000, 1000
 EPOCHS, RATE = 10, 0.012
 SEED = 11
 
@@ -150,7 +150,8 @@ def train_labeller(pages: DataFrame, most_pages: int = TRAINING_PAGES, made: int
     """A labeller for ``pages(page_id, html)``.
 
     At most ``most_pages`` pages of at most ``most_chars`` characters, those whose id has the smallest hash, go to the
-    driver, so that training has a bound at any size; of rows with one id, the smallest page. Without any such page it learns from made-up pages alone.
+    driver, so that training has a bound at any size; of rows with one id, the smallest page. Of these, pages of over
+    ``TRAINING_BLOCKS`` blocks are left out. Without any such page it learns from made-up pages alone.
     """
     usable = pages.where("page_id IS NOT NULL").where(F.length("html") <= most_chars).select("page_id", "html")
     chosen = usable.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(most_pages)
@@ -160,6 +161,8 @@ def train_labeller(pages: DataFrame, most_pages: int = TRAINING_PAGES, made: int
     real, texts = [], []
     for page in rows.column("html").to_pylist():
         blocks = blocks_of(page)
+        if len(blocks) > TRAINING_BLOCKS:
+            continue
         labels = [told_label(b) for b in blocks]
         texts += [b.text for b in blocks if len(b.text) > 60]
         if any(labels):  # some main text is told
@@ -179,7 +182,8 @@ def extract_main_text(pages: DataFrame, model: BlockLabeller | None = None) -> D
 
     ``text`` joins the blocks that the labeller takes for main text, in page order, by an empty line;
     none makes an empty text, and so do null and empty pages. Null ids and urls and
-    repeated rows stay; other columns are not read; an empty table gives an empty result. Pages are read whole, where they lie.
+    repeated rows stay; other columns are not read; an empty table gives an empty result. Pages are read whole, where they
+    lie; a very long one in parts, with its text and blocks in memory, but vectors of no more than some thousand blocks.
     """
     weights = (model or train_labeller(pages)).weights
     schema = "page_id long, url string, text string, n_chars long"
@@ -189,9 +193,7 @@ def extract_main_text(pages: DataFrame, model: BlockLabeller | None = None) -> D
         for batch in batches:
             for part in slices(batch, "html"):
                 pages = [blocks_of(x or "") for x in part.column("html").to_pylist()]
-                everything = features.of([b for p in pages for b in p])
-                ends = np.cumsum([len(p) for p in pages])
-                kept = labeller.label(np.split(everything, ends[:-1]))
+                kept = labeller.label_blocks(pages, features)
                 texts = ["\n\n".join(b.text for b, k in zip(p, keep) if k) for p, keep in zip(pages, kept)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],

@@ -1,7 +1,9 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 
-from tallyworks.llm import maintext
+from tallyworks.llm import blocklstm, maintext
 from tallyworks.llm.blocklstm import INPUTS, BlockLabeller, Features
 from tallyworks.llm.htmlblocks import blocks_of
 
@@ -97,3 +99,38 @@ def test_long_pages_and_empty_table(spark, model):
     row = maintext.extract_main_text(pages(spark, [long]), model).collect()[0]
     assert row.text.count("\n\n") == 2999
     assert maintext.extract_main_text(pages(spark, []), model).collect() == []
+
+
+def test_parts_of_a_page_are_labelled_as_the_whole(model):
+    rng = np.random.default_rng(5)
+    made = [b for _ in range(12) for b in maintext.made_page(rng, ["some words of a text that goes on.", "and more of it."])]
+    whole = model.logits(*(a for a in blocklstm.padded([Features().of(made)])))[:, 0]
+    sure = np.abs(whole) > 1e-4
+    assert sure.mean() > 0.99
+    for at_once in (1, 7, len(made) - 1, len(made), 10_000):
+        parts = model.label_long(made, Features(), at_once)
+        assert np.array_equal(parts[sure], (whole > 0)[sure])
+    pages = [made[:3], [], made, made[5:60]]
+    for cells in (1, 50, 100_000):
+        for got, page in zip(model.label_blocks(pages, Features(), cells, 16), pages):
+            expected = model.label([Features().of(page)])[0]
+            assert len(got) == len(page) and np.mean(got == expected) > 0.99 if page else len(got) == 0
+
+
+def test_memory_of_a_long_page_is_bounded(model):
+    blocks = blocks_of("<body><article>" + "<p>One more short paragraph.</p>" * 45_000 + "</article>")
+    assert len(blocks) == 45_000 > blocklstm.CELLS_AT_ONCE
+    tracemalloc.start()
+    kept = model.label_blocks([blocks], Features())[0]
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert kept.mean() > 0.99
+    assert peak < 16e6  # the vectors of the page alone would be 36e6
+
+
+def test_training_leaves_out_pages_of_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(maintext, "TRAINING_BLOCKS", 20)
+    own = pages(spark, [f"<article><p>Text number {i} of some length, that goes on for a while.</p></article>" for i in range(4)])
+    many = pages(spark, ["<article>" + "<p>word</p>" * 21 + "</article>"]).selectExpr("page_id + 9 AS page_id", "url", "html", "text", "n_chars")
+    one, two = (maintext.train_labeller(p, made=40).weights for p in (own, own.unionByName(many)))
+    assert all(np.array_equal(one[name], w) for name, w in two.items())
