@@ -10,6 +10,8 @@ all rows or copies of one row, can be cut anywhere.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,71 +53,70 @@ def metadata(docs: DataFrame) -> DataFrame:
     )
 
 
+def _constant(values: list, kind: str) -> Column:
+    """A nested list as one constant, however many numbers it has."""
+    return F.from_json(F.lit(json.dumps(values)), kind)
+
+
 class Tree:
-    """Cuts by level; a node is known by the number of its first shard."""
+    """Cuts by level. The node at place p of a level has its parts at places 2p and 2p+1 of the next."""
 
     def __init__(self, shards: int):
-        self.shards = shards
-        self.leaves = {0: shards}  # node -> number of its shards
-        self.levels: list[dict[int, tuple[int, int, int]]] = []  # node -> dimension, cut, right node
+        self.leaves = {0: (0, shards)}  # place in the lowest level -> first shard, number of shards
+        self.levels: list[list[list[int]]] = []  # dimensions (0: not cut) and cuts, by place
 
     def node(self, keys: Column) -> Column:
-        """The node of a row; ``keys`` is the array of its dimension keys."""
-        place: Column = F.lit(0)
+        """The place of a row in the lowest level; ``keys`` is the array of its dimension keys."""
+        top: Column = F.lit(0)
         if not self.levels:
-            return place
-        levels = F.array(
-            *[
-                F.struct(
-                    F.array(*[F.lit(cuts.get(n, (0, 0, n))[0]) for n in range(self.shards)]).alias("dim"),
-                    F.array(*[F.lit(cuts.get(n, (0, 0, n))[1]).cast("long") for n in range(self.shards)]).alias("cut"),
-                    F.array(*[F.lit(cuts.get(n, (0, 0, n))[2]) for n in range(self.shards)]).alias("right"),
-                )
-                for cuts in self.levels
-            ]
-        )
+            return top
 
         def down(at: Column, level: Column) -> Column:
-            dim = F.get(level["dim"], at)
-            over = (dim > 0) & (F.get(keys, dim - 1) > F.get(level["cut"], at))
-            return F.when(over, F.get(level["right"], at)).otherwise(at)
+            dim = F.get(F.get(level, 0), at).cast("int")
+            over = (dim > 0) & (F.get(keys, dim - 1) > F.get(F.get(level, 1), at))
+            return at * 2 + F.when(over, 1).otherwise(0)
 
-        return F.aggregate(levels, place, down)
+        return F.aggregate(_constant(self.levels, "array<array<array<bigint>>>"), top, down)
+
+    def shard(self, keys: Column) -> Column:
+        """The shard of a row, once each leaf is one."""
+        firsts = [self.leaves.get(place, (None, 0))[0] for place in range(1 << len(self.levels))]
+        return F.get(_constant(firsts, "array<int>"), self.node(keys))
+
+    def cut(self, cuts: dict[int, tuple[int, int]]) -> None:
+        """Add a level: dimension and cut of each place that has some; other nodes of several shards have no rows on the right."""
+        places = range(1 << len(self.levels))
+        self.levels.append([[cuts.get(place, (0, 0))[i] for place in places] for i in (0, 1)])
+        parts = {}
+        for place, (first, n) in self.leaves.items():
+            parts[2 * place] = (first, max(1, n // 2))
+            if n > 1:
+                parts[2 * place + 1] = (first + n // 2, n - n // 2)
+        self.leaves = parts
 
 
 def _weighted_cuts(rows: DataFrame, wanted: dict[int, dict], leaf_bytes: float) -> None:
     """Find ``cut`` of each wanted node: keys up to it hold about ``target`` bytes."""
     open_nodes = dict(wanted)
     while open_nodes:
-        spec = F.create_map(
-            *[
-                x
-                for n, w in open_nodes.items()
-                for x in (
-                    F.lit(n),
-                    F.struct(
-                        F.lit(w["dim"]).alias("dim"),
-                        F.lit(w["low"]).cast("long").alias("low"),
-                        F.lit(w["high"]).cast("long").alias("high"),
-                        F.lit(w["width"]).cast("long").alias("width"),
-                    ),
-                )
-            ]
-        )
+        places = range(max(open_nodes) + 1)
+        asked_of = [[w[x] for x in ("dim", "low", "high", "width")] if (w := open_nodes.get(n)) else None for n in places]
+        targets = [w["target"] - w["below"] if (w := open_nodes.get(n)) else None for n in places]
+        spec = F.get(_constant(asked_of, "array<array<bigint>>"), F.col("node"))
+        target = F.get(_constant(targets, "array<double>"), F.col("node"))
         asked = (
-            rows.withColumn("spec", F.try_element_at(spec, F.col("node")))
+            rows.withColumn("spec", spec)
             .where(F.col("spec").isNotNull())
-            .select("node", "size", "spec", F.get("keys", F.col("spec.dim") - 1).alias("key"))
-            .where(F.col("key").between(F.col("spec.low"), F.col("spec.high")))
+            .select("node", "size", "spec", F.get("keys", F.get("spec", 0).cast("int") - 1).alias("key"))
+            .where(F.col("key").between(F.get("spec", 1), F.get("spec", 2)))
         )
-        sums = asked.groupBy("node", F.expr("(key - spec.low) div spec.width").alias("bin")).agg(
+        sums = asked.groupBy("node", F.expr("(key - spec[1]) div spec[3]").alias("bin")).agg(
             F.sum("size").alias("bytes")
         )
         upto = Window.partitionBy("node").orderBy("bin")
-        target = F.create_map(*[x for n, w in open_nodes.items() for x in (F.lit(n), F.lit(float(w["target"] - w["below"])))])
         crossing = (
             sums.withColumn("upto", F.sum("bytes").over(upto))
-            .where(F.col("upto") >= F.element_at(target, F.col("node")))
+            .where(F.col("upto") >= target)
             .groupBy("node")
             .agg(F.min_by(F.struct("bin", "upto", "bytes"), "bin").alias("at"))
             .collect()
@@ -147,7 +148,7 @@ def shard_documents(docs: DataFrame, shards: int) -> DataFrame:
     value, repeated rows each get a slot and are dealt out like others, a very long text
     makes its shard as much too large, and other columns are not read. With
     fewer documents than shards some shards stay empty; an empty table gives an
-    empty result. The tree's cuts, some 20 bytes for each shard and level, travel in the plan.
+    empty result. The tree's cuts travel in the plan as one constant with two numbers for each node.
     """
     stored = materialize(metadata(docs), "shard-metadata")
     whole = stored.agg(
@@ -170,12 +171,12 @@ def shard_documents(docs: DataFrame, shards: int) -> DataFrame:
     tree = Tree(shards)
     leaf_bytes = total / shards
     scale: list[int] | None = None
-    while total and any(k > 1 for k in tree.leaves.values()):
+    while total and any(k > 1 for _, k in tree.leaves.values()):
         rows = keyed.withColumn("node", tree.node(F.col("keys")))
         ends = [f(F.get("keys", i)).alias(f"{f.__name__}{i}") for i in range(len(values)) for f in (F.min, F.max)]
         nodes = {r["node"]: r for r in rows.groupBy("node").agg(F.sum("size").alias("bytes"), *ends).collect()}
         wanted: dict[int, dict] = {}
-        for n, k in tree.leaves.items():
+        for n, (_, k) in tree.leaves.items():
             if k == 1 or n not in nodes:
                 continue
             r = nodes[n]
@@ -192,22 +193,14 @@ def shard_documents(docs: DataFrame, shards: int) -> DataFrame:
                 "below": 0,
             }
         _weighted_cuts(rows, wanted, leaf_bytes)
-        cuts, leaves = {}, {}
-        for n, k in tree.leaves.items():
-            leaves[n] = k if k == 1 else k // 2
-            if k > 1:
-                leaves[n + k // 2] = k - k // 2
-            if n in wanted:
-                cuts[n] = (wanted[n]["dim"], wanted[n]["cut"], n + k // 2)
-        tree.levels.append(cuts)
-        tree.leaves = leaves
+        tree.cut({n: (w["dim"], w["cut"]) for n, w in wanted.items()})
 
     chunks = max(1, -(-n_rows // shards // ROWS_PER_CHUNK) * 4)
     placed = keyed.select(
         "doc_id",
         "size",
         "text_crc32",
-        tree.node(F.col("keys")).cast("int").alias("shard"),
+        tree.shard(F.col("keys")).alias("shard"),
         F.pmod("hash", F.lit(chunks)).cast("int").alias("chunk"),
     )
     before = Window.partitionBy("shard").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,3 +1,4 @@
+import random
 import re
 import zlib
 from collections import defaultdict
@@ -59,3 +60,32 @@ def test_copies_of_one_row_are_balanced(docs_of):
 
 def test_empty_table(docs_of):
     assert kdshards.shard_documents(docs_of([]), 5).collect() == []
+
+
+def test_rows_go_down_a_large_tree_as_in_a_plain_walk(spark):
+    rng = random.Random(3)
+    shards, tree = 3000, kdshards.Tree(3000)
+    while any(n > 1 for _, n in tree.leaves.values()):
+        tree.cut({p: (rng.randint(1, 4), rng.getrandbits(62)) for p, (_, n) in tree.leaves.items() if n > 1 and rng.random() < 0.95})
+
+    def walk(keys, place=0, first=0, n=shards, level=0):
+        while level < len(tree.levels):
+            dims, cuts = tree.levels[level]
+            right = dims[place] > 0 and keys[dims[place] - 1] > cuts[place]
+            half = n // 2
+            first, n = (first + half, n - half) if right else (first, half if n > 1 else 1)
+            place, level = 2 * place + right, level + 1
+        assert n == 1
+        return first
+
+    keys = [[rng.getrandbits(62) for _ in range(4)] for _ in range(2000)]
+    found = spark.createDataFrame([(k,) for k in keys], "keys array<long>").select(tree.shard(F.col("keys")).alias("shard"))
+    assert [r.shard for r in found.collect()] == [walk(k) for k in keys]
+    assert {first for first, _ in tree.leaves.values()} == set(range(shards))
+
+
+def test_many_shards(docs_of):
+    texts = ["word " * (i % 50 + 1) for i in range(3000)]
+    sizes = check(texts, kdshards.shard_documents(docs_of(texts), 150).collect(), 150)
+    mean = sum(sizes.values()) / 150
+    assert len(sizes) == 150 and all(abs(s - mean) <= 3 * 266 for s in sizes.values())
