@@ -1,4 +1,4 @@
-"""Text output."""
+"""Text and CSV output."""
 
 from __future__ import annotations
 
@@ -6,6 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Rows of a survey file: some hundred columns make about 100 MB of text, as much as one task reads of a plain file.
+SURVEY_FILE_ROWS = 50_000
+
+
+def save_survey(survey: DataFrame, path: str, header: bool = False) -> None:
+    """A wide survey as CSV files that ``read_survey`` and ``read_lines`` take as they are.
+
+    Compressed, as hundreds of small numbers are mostly digits and separators. A compressed file is read by one task,
+    so each has a bounded number of rows.
+    """
+    writer = survey.write.option("header", header).option("maxRecordsPerFile", SURVEY_FILE_ROWS)
+    writer.csv(path, compression="lz4")
+
+
 def save_as_text(df: DataFrame, path: str, files: int | None = None) -> None:
     """Each row as a tuple-like line ``(a,b,c)``.
 

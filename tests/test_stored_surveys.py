@@ -1,0 +1,40 @@
+"""The wide survey queries write and read all fields of all cases, but not more often than once."""
+
+import glob
+import os
+
+from tallyworks.plans import catalog, tables
+from tallyworks.session import drop_stored, shared_folder
+from tallyworks.sinks.files import save_survey
+from tallyworks.sources.files import read_survey
+
+QUERIES = catalog.queries()
+
+
+def stored_orders(spark, folder, cases=3000):
+    spark.range(cases).selectExpr("id AS o_orderkey", "if(id % 50 = 0, NULL, id * 31 % 997) AS o_custkey").write.parquet(f"{folder}/orders.parquet")
+    return str(folder)
+
+
+def size_of(path):
+    return sum(os.path.getsize(f) for f in glob.glob(f"{path}/*") if not os.path.basename(f).startswith("_"))
+
+
+def test_csv_query_stores_little_and_keeps_every_case(spark, tmp_path):
+    folder = stored_orders(spark, tmp_path)
+    tables.wide_survey(spark, folder).write.csv(f"{tmp_path}/plain")
+    before = set(glob.glob(f"{shared_folder(spark)}/survey-*"))
+    result = QUERIES["time_use_from_csv"](spark, folder)
+    (path,) = set(glob.glob(f"{shared_folder(spark)}/survey-*")) - before
+    assert size_of(path) * 5 < size_of(f"{tmp_path}/plain")
+    assert result.count() == sum(k % 7 <= 3 for k in range(3000))
+    drop_stored(spark)
+
+
+def test_stored_survey_is_read_as_written(spark, tmp_path):
+    wide = tables.wide_survey(spark, stored_orders(spark, tmp_path))
+    save_survey(wide, f"{tmp_path}/survey", header=True)
+    names, survey = read_survey(spark, f"{tmp_path}/survey")
+    assert names == wide.columns
+    wanted = sorted(map(tuple, wide.selectExpr("string(case_id) AS case_id", *names[1:]).collect()))
+    assert sorted(map(tuple, survey.collect())) == wanted
