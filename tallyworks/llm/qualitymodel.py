@@ -87,7 +87,22 @@ class Model:
         return self.vectors @ (self.output[:, 1] - self.output[:, 0]), float(self.bias[1] - self.bias[0])
 
 
-def train(bags: np.ndarray, labels: np.ndarray, seed: int = 7) -> Model:
+class SparseBags:
+    """Bags with their non-zero shares only; rows that are asked for come as an array, so that all never do."""
+
+    def __init__(self, places: pa.ChunkedArray, shares: pa.ChunkedArray, buckets: int):
+        self.rows = [(p.values.to_numpy(), s.values.to_numpy()) for p, s in zip(places, shares)]
+        self.shape = len(self.rows), buckets
+
+    def __getitem__(self, numbers: np.ndarray) -> np.ndarray:
+        asked = np.zeros((len(numbers), self.shape[1]), np.float32)
+        for i, number in enumerate(numbers):
+            places, shares = self.rows[number]
+            asked[i, places] = shares
+        return asked
+
+
+def train(bags: np.ndarray | SparseBags, labels: np.ndarray, seed: int = 7) -> Model:
     """Stochastic gradient descent with per-parameter rates on the softmax loss of averaged vectors."""
     rng = np.random.default_rng(seed)
     n, buckets = bags.shape
@@ -152,10 +167,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most_rows: i
     if not rows.num_rows:
         return None
     rows = rows.sort_by([("doc_id", "ascending")])
-    bags = np.zeros((rows.num_rows, buckets), np.float32)
-    for i, (places, shares) in enumerate(zip(rows.column("places"), rows.column("shares"))):
-        bags[i, places.values.to_numpy()] = shares.values.to_numpy()
-    return train(bags, rows.column("label").to_numpy())
+    model = train(SparseBags(rows.column("places"), rows.column("shares"), buckets), rows.column("label").to_numpy())
+    del rows
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 class WordScores:
