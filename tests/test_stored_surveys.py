@@ -6,7 +6,7 @@ import os
 from tallyworks.plans import catalog, tables
 from tallyworks.session import drop_stored, shared_folder
 from tallyworks.sinks.files import save_survey
-from tallyworks.sources.files import read_survey
+from tallyworks.sources.files import read_survey, survey_rows
 
 QUERIES = catalog.queries()
 
@@ -38,3 +38,18 @@ def test_stored_survey_is_read_as_written(spark, tmp_path):
     assert names == wide.columns
     wanted = sorted(map(tuple, wide.selectExpr("string(case_id) AS case_id", *names[1:]).collect()))
     assert sorted(map(tuple, survey.collect())) == wanted
+
+
+def test_lines_are_split_once(spark, tmp_path, plan_of):
+    result = QUERIES["time_use_from_lines"](spark, stored_orders(spark, tmp_path))
+    assert plan_of(result).count("try_cast") <= 2  # the operator's name and its arguments
+    drop_stored(spark)
+
+
+def test_filters_leave_odd_lines_as_they_are(spark):
+    lines = spark.createDataFrame([("a,1,2.5",), ("b,x,1",), ("c",), ("",), (None,), ("d,3,4,5",)], "value STRING")
+    rows = survey_rows(lines, ["id", "n", "m"], mode="permissive")
+    whole = [("a", 1.0, 2.5), ("b", None, 1.0), ("c", None, None), ("", None, None), (None, None, None), ("d", 3.0, 4.0)]
+    assert [tuple(r) for r in rows.collect()] == whole
+    assert [tuple(r) for r in rows.where("m < 4 AND n IS NOT NULL").collect()] == whole[:1]
+    assert [tuple(r) for r in rows.where("m IS NULL").collect()] == whole[2:5]
